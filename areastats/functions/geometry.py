@@ -1,219 +1,178 @@
-"""Planar geometry as column expressions.
+"""Planar geometry as SQL expressions over arrays.
 
 A feature keeps its shape in one value, `rings: array<struct<part, hole, pts: array<struct<x, y>>>>`: the rings of a
 polygon (first vertex need not be repeated) or the parts of a line. Points are plain `x`, `y` columns. With the shape in
 the row, edges, centroids and grid cells need no shuffle.
 
-All divisions are guarded, so the expressions are safe under ANSI mode.
+The helpers return SQL text, which composes and nests without building thousands of column objects. Arguments are SQL
+too: a column, a lambda variable or a number. `e` and `p` stand for pieces, straight lines with x1, y1, x2, y2. Divisions
+are guarded, so everything is safe under ANSI mode.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 POINT_DIM, LINE_DIM, POLYGON_DIM = 0, 1, 2
 
 RINGS_TYPE = "array<struct<part:int,hole:boolean,pts:array<struct<x:double,y:double>>>>"
-EDGES_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
-
-
-def edges(rings: Column, dim: int) -> Column:
-    """Straight pieces of a line or polygon; polygon rings are closed and zero-length pieces dropped."""
-
-    def ring_edges(ring: Column) -> Column:
-        pts = ring["pts"]
-        start = F.get(pts, F.lit(0))
-        path = F.concat(pts, F.array(start)) if dim == POLYGON_DIM else pts
-        nexts = F.slice(path, F.lit(2), F.greatest(F.size(path), F.lit(1)))
-        return F.filter(
-            F.zip_with(
-                F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0))),
-                nexts,
-                lambda p, q: F.struct(
-                    p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")
-                ),
-            ),
-            lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]),
-        )
-
-    return F.flatten(F.transform(rings, ring_edges))
-
-
-def vertices(rings: Column) -> Column:
-    return F.flatten(F.transform(rings, lambda r: r["pts"]))
-
-
-def length(e: Column) -> Column:
-    """Length of one piece."""
-    return F.sqrt((e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"]))
-
-
-def _sums(first: str, second: str, weight: str) -> Column:
-    zero = F.lit(0.0)
-    return F.struct(zero.alias(first), zero.alias(second), zero.alias(weight))
-
-
-def _length_centre(pieces: Column, origin: Column) -> Column:
-    def add(acc: Column, e: Column) -> Column:
-        size = length(e)
-        return F.struct(
-            (acc["sx"] + size * ((e["x1"] + e["x2"]) / 2 - origin["x"])).alias("sx"),
-            (acc["sy"] + size * ((e["y1"] + e["y2"]) / 2 - origin["y"])).alias("sy"),
-            (acc["w"] + size).alias("w"),
-        )
-
-    return F.aggregate(pieces, _sums("sx", "sy", "w"), add)
-
-
-def _area_centre(rings: Column, origin: Column) -> Column:
-    """Shoelace sums around the first vertex; each ring counts with the sign of its role, whatever its direction."""
-
-    def ring_sums(ring: Column) -> Column:
-        def add(acc: Column, e: Column) -> Column:
-            ax, ay = e["x1"] - origin["x"], e["y1"] - origin["y"]
-            bx, by = e["x2"] - origin["x"], e["y2"] - origin["y"]
-            cross = ax * by - bx * ay
-            return F.struct(
-                (acc["sx"] + (ax + bx) * cross / 3).alias("sx"),
-                (acc["sy"] + (ay + by) * cross / 3).alias("sy"),
-                (acc["w"] + cross).alias("w"),
-            )
-
-        return F.aggregate(edges(F.array(ring), POLYGON_DIM), _sums("sx", "sy", "w"), add)
-
-    def total(acc: Column, ring: Column) -> Column:
-        sign = F.signum(ring["s"]["w"]) * F.when(ring["hole"], F.lit(-1.0)).otherwise(F.lit(1.0))
-        return F.struct(
-            (acc["sx"] + sign * ring["s"]["sx"]).alias("sx"),
-            (acc["sy"] + sign * ring["s"]["sy"]).alias("sy"),
-            (acc["w"] + sign * ring["s"]["w"]).alias("w"),
-        )
-
-    per_ring = F.transform(rings, lambda r: F.struct(r["hole"].alias("hole"), ring_sums(r).alias("s")))
-    return F.aggregate(per_ring, _sums("sx", "sy", "w"), total)
-
-
-def centroid(rings: Column, dim: int) -> Column:
-    """Centroid as struct(x, y): area-weighted (holes subtract), else length-weighted, else the mean vertex."""
-    origin = F.get(vertices(rings), F.lit(0))
-
-    def at(sums: Column) -> Column:
-        return F.when(
-            sums["w"] != 0,
-            F.struct(
-                (origin["x"] + F.try_divide(sums["sx"], sums["w"])).alias("x"),
-                (origin["y"] + F.try_divide(sums["sy"], sums["w"])).alias("y"),
-            ),
-        )
-
-    def mean_vertex() -> Column:
-        pts = vertices(rings)
-        sums = F.aggregate(
-            pts,
-            _sums("sx", "sy", "w"),
-            lambda acc, p: F.struct(
-                (acc["sx"] + p["x"] - origin["x"]).alias("sx"),
-                (acc["sy"] + p["y"] - origin["y"]).alias("sy"),
-                (acc["w"] + 1).alias("w"),
-            ),
-        )
-        return at(sums)
-
-    choices = [at(_length_centre(edges(rings, dim), origin)), mean_vertex()]
+PIECES_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+NO_PIECES = f"cast(array() as {PIECES_TYPE})"
+
+
+def num(value: float) -> str:
+    """A double literal."""
+    return f"({float(value)!r}D)"
+
+
+def piece(x1: str, y1: str, x2: str, y2: str) -> str:
+    return f"named_struct('x1', {x1}, 'y1', {y1}, 'x2', {x2}, 'y2', {y2})"
+
+
+def frozen(df: DataFrame, keep: list[str], computed: dict[str, str]) -> DataFrame:
+    """Project costly expressions so that later filters cannot be rewritten to evaluate them again.
+
+    Spark pushes a filter on a computed column below the projection by repeating the expression; it does not push it
+    below a generator.
+    """
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in computed.items())
+    return df.selectExpr(*keep, f"inline(array(named_struct({fields})))")
+
+
+def ring_pieces(pts: str, dim: int) -> str:
+    """Straight pieces of one vertex list; polygon rings are closed and zero-length pieces dropped."""
+    rest = f"slice({pts}, 2, size({pts}))"
     if dim == POLYGON_DIM:
-        choices.insert(0, at(_area_centre(rings, origin)))
-    return F.coalesce(*choices)
+        first, second = pts, f"concat({rest}, array(get({pts}, 0)))"
+    else:
+        first, second = f"slice({pts}, 1, greatest(size({pts}) - 1, 0))", rest
+    joined = f"zip_with({first}, {second}, (v, w) -> {piece('v.x', 'v.y', 'w.x', 'w.y')})"
+    return f"filter({joined}, z -> z.x1 <> z.x2 or z.y1 <> z.y2)"
 
 
-def cross(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
-    """Positive where p lies left of the directed line a-b, zero where it lies on it."""
-    return (bx - ax) * (py - ay) - (px - ax) * (by - ay)
+def pieces(dim: int, rings: str = "rings") -> str:
+    return f"flatten(transform({rings}, ring -> {ring_pieces('ring.pts', dim)}))"
 
 
-def side(e: Column, px: Column, py: Column) -> Column:
-    return cross(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
+def side(e: str, px: str, py: str) -> str:
+    """Positive where the point lies left of the directed piece, zero where it lies on its line."""
+    return f"(({e}.x2 - {e}.x1) * ({py} - {e}.y1) - ({px} - {e}.x1) * ({e}.y2 - {e}.y1))"
 
 
-def in_box(e: Column, px: Column, py: Column) -> Column:
-    """Point within the closed bounding box of one piece."""
+def in_box(e: str, px: str, py: str) -> str:
+    """Point within the closed bounding box of a piece."""
     return (
-        (px >= F.least(e["x1"], e["x2"]))
-        & (px <= F.greatest(e["x1"], e["x2"]))
-        & (py >= F.least(e["y1"], e["y2"]))
-        & (py <= F.greatest(e["y1"], e["y2"]))
+        f"({px} between least({e}.x1, {e}.x2) and greatest({e}.x1, {e}.x2)"
+        f" and {py} between least({e}.y1, {e}.y2) and greatest({e}.y1, {e}.y2))"
     )
 
 
-def locate(pieces: Column, flip: Column, px: Column, py: Column) -> Column:
+def locate(ray: str, flip: str, px: str, py: str) -> str:
     """1 inside, 0 outside, -1 on the boundary, by crossings of a ray towards larger x.
 
     `flip` holds crossings known beforehand. Parity over all rings covers holes and several parts alike.
     """
-
-    def step(acc: Column, e: Column) -> Column:
-        s = side(e, px, py)
-        crosses = ((e["y1"] > py) != (e["y2"] > py)) & ((s > 0) == (e["y2"] > e["y1"]))
-        return (
-            F.when(acc < 0, acc)
-            .when((s == 0) & in_box(e, px, py), F.lit(-1))
-            .when(crosses, acc + 1)
-            .otherwise(acc)
-        )
-
-    return F.aggregate(
-        pieces, F.lit(0), step, lambda n: F.when(n < 0, F.lit(-1)).otherwise((n + flip) % 2)
+    s = side("k", px, py)
+    return (
+        f"aggregate({ray}, 0, (acc, k) -> case when acc < 0 then acc"
+        f" when {s} = 0 and {in_box('k', px, py)} then -1"
+        f" when (k.y1 > {py}) <> (k.y2 > {py}) and ({s} > 0) = (k.y2 > k.y1) then acc + 1"
+        f" else acc end, acc -> if(acc < 0, -1, (acc + {flip}) % 2))"
     )
 
 
-def point_piece_sq(px: Column, py: Column, e: Column) -> Column:
-    """Squared distance from a point to one piece."""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    t = F.try_divide((px - e["x1"]) * dx + (py - e["y1"]) * dy, dx * dx + dy * dy)
-    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(t, F.lit(0.0))))
-    ex, ey = px - (e["x1"] + t * dx), py - (e["y1"] + t * dy)
-    return ex * ex + ey * ey
+def point_piece_sq(px: str, py: str, e: str) -> str:
+    """Squared distance from a point to a piece (which may have zero length)."""
+    dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
+    t = (
+        f"least(1D, greatest(0D, coalesce(try_divide(({px} - {e}.x1) * {dx} + ({py} - {e}.y1) * {dy},"
+        f" {dx} * {dx} + {dy} * {dy}), 0D)))"
+    )
+    return f"(pow({px} - {e}.x1 - {t} * {dx}, 2) + pow({py} - {e}.y1 - {t} * {dy}, 2))"
 
 
-def pieces_touch(e: Column, g: Column) -> Column:
-    """Closed pieces share a point: boxes overlap and neither lies strictly on one side of the other."""
-    boxes = (
-        (F.greatest(e["x1"], e["x2"]) >= F.least(g["x1"], g["x2"]))
-        & (F.least(e["x1"], e["x2"]) <= F.greatest(g["x1"], g["x2"]))
-        & (F.greatest(e["y1"], e["y2"]) >= F.least(g["y1"], g["y2"]))
-        & (F.least(e["y1"], e["y2"]) <= F.greatest(g["y1"], g["y2"]))
+def pieces_touch(e: str, p: str) -> str:
+    """Closed pieces share a point: their boxes overlap and neither lies strictly on one side of the other."""
+    boxes = " and ".join(
+        f"greatest({e}.{a}1, {e}.{a}2) >= least({p}.{a}1, {p}.{a}2)"
+        f" and least({e}.{a}1, {e}.{a}2) <= greatest({p}.{a}1, {p}.{a}2)"
+        for a in "xy"
     )
-    first = F.signum(side(e, g["x1"], g["y1"])) * F.signum(side(e, g["x2"], g["y2"]))
-    second = F.signum(side(g, e["x1"], e["y1"])) * F.signum(side(g, e["x2"], e["y2"]))
-    return boxes & (first <= 0) & (second <= 0)
+    first = f"signum({side(e, f'{p}.x1', f'{p}.y1')}) * signum({side(e, f'{p}.x2', f'{p}.y2')}) <= 0"
+    second = f"signum({side(p, f'{e}.x1', f'{e}.y1')}) * signum({side(p, f'{e}.x2', f'{e}.y2')}) <= 0"
+    return f"({boxes} and {first} and {second})"
 
 
-def pieces_within(e: Column, g: Column, reach: float) -> Column:
+def pieces_within(e: str, p: str, reach: float) -> str:
     """Two pieces at most `reach` apart."""
-    touch = pieces_touch(e, g)
+    touch = pieces_touch(e, p)
     if reach <= 0:
         return touch
-    limit = F.lit(reach * reach)
+    limit = num(reach * reach)
+    ends = [(p, "1", e), (p, "2", e), (e, "1", p), (e, "2", p)]
+    close = " or ".join(f"{point_piece_sq(f'{a}.x{n}', f'{a}.y{n}', b)} <= {limit}" for a, n, b in ends)
+    boxes = " and ".join(
+        f"greatest({e}.{a}1, {e}.{a}2) + {num(reach)} >= least({p}.{a}1, {p}.{a}2)"
+        f" and least({e}.{a}1, {e}.{a}2) - {num(reach)} <= greatest({p}.{a}1, {p}.{a}2)"
+        for a in "xy"
+    )
+    return f"({boxes} and ({touch} or {close}))"
+
+
+def _weighted(items: str, v: str, x: str, y: str, w: str) -> str:
+    """Sums of x, y and weight over an array."""
+    start = "named_struct('sx', 0D, 'sy', 0D, 'w', 0D)"
     return (
-        touch
-        | (point_piece_sq(g["x1"], g["y1"], e) <= limit)
-        | (point_piece_sq(g["x2"], g["y2"], e) <= limit)
-        | (point_piece_sq(e["x1"], e["y1"], g) <= limit)
-        | (point_piece_sq(e["x2"], e["y2"], g) <= limit)
+        f"aggregate({items}, {start}, (acc, {v}) ->"
+        f" named_struct('sx', acc.sx + {x}, 'sy', acc.sy + {y}, 'w', acc.w + {w}))"
     )
 
 
-def rings_from_vertices(vertex, keys: list[str]):
-    """Vertex rows `(keys…, part, ring, seq, x, y)` to one row per feature; ring 0 of a part is the shell."""
-    pts = F.transform(
-        F.array_sort(F.collect_list(F.struct("seq", "x", "y"))),
-        lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")),
+def with_centroid(features: DataFrame, dim: int) -> DataFrame:
+    """Replace `rings` by the centroid `x`, `y`.
+
+    Area-weighted (each ring counts with the sign of its role, so holes subtract whatever their direction), else
+    length-weighted, else the mean vertex. Sums are taken around the first vertex to keep precision.
+    """
+    rest = [c for c in features.columns if c != "rings"]
+    names = [f"`{c}`" for c in rest]
+    df = features.selectExpr(*names, "rings", "get(flatten(transform(rings, r -> r.pts)), 0) as _o")
+
+    ax, ay, bx, by = "(e.x1 - _o.x)", "(e.y1 - _o.y)", "(e.x2 - _o.x)", "(e.y2 - _o.y)"
+    turn = f"({ax} * {by} - {bx} * {ay})"
+    ring_sums = _weighted(
+        ring_pieces("ring.pts", POLYGON_DIM), "e", f"({ax} + {bx}) * {turn} / 3", f"({ay} + {by}) * {turn} / 3", turn
+    )
+    rings = f"transform(rings, ring -> named_struct('role', if(ring.hole, -1D, 1D), 's', {ring_sums}))"
+    sign = "q.role * signum(q.s.w)"
+    area = _weighted(rings, "q", f"{sign} * q.s.sx", f"{sign} * q.s.sy", f"{sign} * q.s.w")
+    size = "sqrt(pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2))"
+    line = _weighted(
+        pieces(dim),
+        "e",
+        f"{size} * ((e.x1 + e.x2) / 2 - _o.x)",
+        f"{size} * ((e.y1 + e.y2) / 2 - _o.y)",
+        size,
     )
-    ring = vertex.groupBy(*keys, "part", "ring").agg(pts.alias("pts"))
-    shape = F.transform(
-        F.array_sort(F.collect_list(F.struct("part", "ring", "pts"))),
-        lambda r: F.struct(
-            r["part"].cast("int").alias("part"), (r["ring"] > 0).alias("hole"), r["pts"].alias("pts")
-        ),
+    mean = _weighted("flatten(transform(rings, r -> r.pts))", "v", "v.x - _o.x", "v.y - _o.y", "1D")
+    choices = ([area] if dim == POLYGON_DIM else []) + [line, mean]
+    empty = "cast(null as struct<sx:double,sy:double,w:double>)"
+    chosen = empty
+    for sums in reversed(choices):
+        chosen = f"coalesce(get(filter(array({sums}), s -> s.w <> 0), 0), {chosen})"
+    df = frozen(df, names, {"_ox": "_o.x", "_oy": "_o.y", "_s": chosen})
+    return df.selectExpr(*names, "_ox + try_divide(_s.sx, _s.w) as x", "_oy + try_divide(_s.sy, _s.w) as y")
+
+
+def rings_from_vertices(vertex: DataFrame, keys: list[str]) -> DataFrame:
+    """Vertex rows `(keys…, part, ring, seq, x, y)` to one row per feature; ring 0 of a part is the shell."""
+    sorted_pts = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
+    ring = vertex.groupBy(*keys, "part", "ring").agg(sorted_pts.alias("_v"))
+    shape = F.array_sort(F.collect_list(F.struct("part", "ring", "_v")))
+    whole = ring.groupBy(*keys).agg(shape.alias("_r"))
+    text = (
+        "transform(_r, r -> named_struct('part', cast(r.part as int), 'hole', r.ring > 0,"
+        " 'pts', transform(r._v, v -> named_struct('x', v.x, 'y', v.y))))"
     )
-    return ring.groupBy(*keys).agg(shape.alias("rings"))
+    return whole.selectExpr(*[f"`{k}`" for k in keys], f"{text} as rings")

@@ -25,7 +25,7 @@ def pct(num: Column, den: Column) -> Column:
 
 def pct_zero(num: Column, den: Column) -> Column:
     """Percent share, zero where the denominator is zero, null where it is null."""
-    return F.when(den == 0, F.lit(0.0)).otherwise(ratio(F.lit(100) * num, den))
+    return F.when(den == 0, F.lit(0.0)).otherwise(ratio(100 * num.cast("double"), den))
 
 
 def year_gap(year: int, value: Column) -> Column:

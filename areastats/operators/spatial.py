@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areastats.functions import geometry as g
-from areastats.operators.tiles import cell_of, prefixed, tile, with_cell
+from areastats.functions.geometry import num
+from areastats.operators.tiles import cell_sql, prefixed, tile, with_cell
 from areastats.session import materialise
 
 AREA_KEYS = ["geography", "geoid10"]
@@ -16,11 +17,7 @@ AREA_KEYS = ["geography", "geoid10"]
 
 def representative_points(features: DataFrame, dim: int) -> DataFrame:
     """Features with the x, y of their centroid in place of the shape; points stay as they are."""
-    if dim == g.POINT_DIM:
-        return features
-    rest = [c for c in features.columns if c != "rings"]
-    placed = features.select(*rest, g.centroid(F.col("rings"), dim).alias("_c"))
-    return placed.select(*rest, F.col("_c.x").alias("x"), F.col("_c.y").alias("y"))
+    return features if dim == g.POINT_DIM else g.with_centroid(features, dim)
 
 
 def area_tiles(areas: DataFrame, cell: float, reach: float = 0.0) -> DataFrame:
@@ -32,16 +29,15 @@ def within(points: DataFrame, tiles: DataFrame, cell: float, boundary: bool = Fa
 
     One equi-join on the cell, no aggregate: a point lies in one cell only, so pairs come out once.
     """
-    spot = g.locate(F.col("ray"), F.col("flip"), F.col("x"), F.col("y"))
-    hit = F.col("inside") | ((spot != 0) if boundary else (spot == 1))
+    spot = g.locate("ray", "flip", "x", "y")
     joined = with_cell(points, cell).join(tiles.drop("near"), ["cx", "cy"])
-    return joined.where(hit).drop("cx", "cy", "inside", "flip", "ray")
+    hit = joined.where(f"inside or {spot} {'<> 0' if boundary else '= 1'}")
+    return hit.drop("cx", "cy", "inside", "flip", "ray")
 
 
 def assign(features: DataFrame, dim: int, tiles: DataFrame, cell: float, boundary: bool = False) -> DataFrame:
     """Feature attributes with the areas of all geographies that hold its centroid."""
-    placed = within(representative_points(features, dim), tiles, cell, boundary)
-    return placed.drop("x", "y")
+    return within(representative_points(features, dim), tiles, cell, boundary).drop("x", "y")
 
 
 def zips_within(zips: DataFrame, metro_tiles: DataFrame, cell: float, metro: str = "32820") -> DataFrame:
@@ -51,6 +47,10 @@ def zips_within(zips: DataFrame, metro_tiles: DataFrame, cell: float, metro: str
     return inside.select("zip").distinct()
 
 
+def _keys(tiles: DataFrame, prefix: str) -> list[str]:
+    return [c for c in tiles.columns if c not in ("cx", "cy") and not c.startswith(prefix)]
+
+
 def near_pairs(
     left: DataFrame, left_dim: int, right: DataFrame, right_dim: int, cell: float, reach: float = 0.0
 ) -> DataFrame:
@@ -61,42 +61,32 @@ def near_pairs(
     """
     lt = prefixed(tile(left, left_dim, cell), "l_")
     rt = prefixed(tile(right, right_dim, cell, reach), "r_")
-    lkeys = [c for c in lt.columns if c not in ("cx", "cy") and not c.startswith("l_")]
-    rkeys = [c for c in rt.columns if c not in ("cx", "cy") and not c.startswith("r_")]
-
-    def in_cell(e: Column) -> Column:
-        return (cell_of(e["x1"], cell) == F.col("cx")) & (cell_of(e["y1"], cell) == F.col("cy"))
 
-    def starts_in(pieces: str, ray: str, flip: str) -> Column:
-        return F.exists(
-            pieces, lambda e: in_cell(e) & (g.locate(F.col(ray), F.col(flip), e["x1"], e["y1"]) != 0)
-        )
+    def starts_in(pieces: str, ray: str, flip: str) -> str:
+        here = f"{cell_sql('e.x1', cell)} = cx and {cell_sql('e.y1', cell)} = cy"
+        return f"exists({pieces}, e -> {here} and {g.locate(ray, flip, 'e.x1', 'e.y1')} <> 0)"
 
-    close = F.exists("l_near", lambda e: F.exists("r_near", lambda p: g.pieces_within(e, p, reach)))
-    hit = F.col("r_inside")
+    tests = ["r_inside"]
     if left_dim == g.POLYGON_DIM:
-        hit = hit | (F.col("l_inside") & _reaches_cell("r_near", cell, reach))
-    hit = hit | close
+        tests.append(f"(l_inside and {_reaches_cell('r_near', cell, reach)})")
+    tests.append(f"exists(l_near, e -> exists(r_near, p -> {g.pieces_within('e', 'p', reach)}))")
     if right_dim == g.POLYGON_DIM:
-        hit = hit | starts_in("l_near", "r_ray", "r_flip")
+        tests.append(starts_in("l_near", "r_ray", "r_flip"))
     if left_dim == g.POLYGON_DIM:
-        hit = hit | starts_in("r_near", "l_ray", "l_flip")
-    return lt.join(rt, ["cx", "cy"]).where(hit).select(*lkeys, *rkeys).distinct()
+        tests.append(starts_in("r_near", "l_ray", "l_flip"))
+    hits = lt.join(rt, ["cx", "cy"]).where(" or ".join(tests))
+    return hits.select(*_keys(lt, "l_"), *_keys(rt, "r_")).distinct()
 
 
-def _reaches_cell(pieces: str, cell: float, reach: float) -> Column:
+def _reaches_cell(pieces: str, cell: float, reach: float) -> str:
     """Some piece comes within reach of the closed cell square."""
-    x0, y0 = F.col("cx") * F.lit(float(cell)), F.col("cy") * F.lit(float(cell))
-    x1, y1 = (F.col("cx") + 1) * F.lit(float(cell)), (F.col("cy") + 1) * F.lit(float(cell))
-
-    def border(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-        return F.struct(ax.alias("x1"), ay.alias("y1"), bx.alias("x2"), by.alias("y2"))
-
-    sides = F.array(border(x0, y0, x1, y0), border(x1, y0, x1, y1), border(x1, y1, x0, y1), border(x0, y1, x0, y0))
-    return F.exists(
-        pieces,
-        lambda e: ((e["x1"] >= x0) & (e["x1"] <= x1) & (e["y1"] >= y0) & (e["y1"] <= y1))
-        | F.exists(sides, lambda s: g.pieces_within(e, s, reach)),
+    x0, y0 = f"cx * {num(cell)}", f"cy * {num(cell)}"
+    x1, y1 = f"(cx + 1) * {num(cell)}", f"(cy + 1) * {num(cell)}"
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    sides = ", ".join(g.piece(*a, *b) for a, b in zip(corners, corners[1:]))
+    return (
+        f"exists({pieces}, e -> (e.x1 between {x0} and {x1} and e.y1 between {y0} and {y1})"
+        f" or exists(array({sides}), p -> {g.pieces_within('e', 'p', reach)}))"
     )
 
 
@@ -117,42 +107,41 @@ def nearest_distance(
     """
     by = by or []
     keys = [c for c in points.columns if c not in ("x", "y")]
-    present = [
-        df.where(F.size("rings") > 0) if dim != g.POINT_DIM else df.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        for df, dim in layers
-    ]
-    located = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    shapes = {g.POINT_DIM: ["x", "y"], g.LINE_DIM: ["rings"], g.POLYGON_DIM: ["rings"]}
+    some = {g.POINT_DIM: "x is not null and y is not null"}
+    present = []
+    for dim, shape in shapes.items():
+        same = [df.select(*by, *shape) for df, d in layers if d == dim]
+        if same:
+            present.append((reduce(DataFrame.unionByName, same).where(some.get(dim, "size(rings) > 0")), dim))
+    located = points.where("x is not null and y is not null")
     if by:
-        listed = reduce(DataFrame.unionByName, [df.select(*by).distinct() for df in present]).distinct()
+        listed = reduce(DataFrame.unionByName, [df.select(*by).distinct() for df, _ in present]).distinct()
         todo = located.join(listed, by, "left_semi")
-    elif all(df.isEmpty() for df in present):
+    elif all(df.isEmpty() for df, _ in present):
         return points.select(*keys, F.lit(None).cast("double").alias("dist"))
     else:
         todo = located
 
+    covered = f"cx = _ox and cy = _oy and (inside or {g.locate('ray', 'flip', 'x', 'y')} <> 0)"
+    gap = f"array_min(transform(near, e -> {g.point_piece_sq('x', 'y', 'e')}))"
     found, width = [], float(cell)
     while True:
-        tiles = reduce(
-            DataFrame.unionByName, [tile(df, dim, width, keep=by) for (_, dim), df in zip(layers, present)]
-        )
-        around = with_cell(todo, width).withColumns({"_ox": F.col("cx"), "_oy": F.col("cy")})
-        around = around.withColumn("cx", F.explode(F.sequence(F.col("_ox") - 1, F.col("_ox") + 1)))
-        around = around.withColumn("cy", F.explode(F.sequence(F.col("_oy") - 1, F.col("_oy") + 1)))
-        own = (F.col("cx") == F.col("_ox")) & (F.col("cy") == F.col("_oy"))
-        covered = own & (
-            F.col("inside") | (g.locate(F.col("ray"), F.col("flip"), F.col("x"), F.col("y")) != 0)
-        )
-        gap = F.array_min(F.transform("near", lambda e: g.point_piece_sq(F.col("x"), F.col("y"), e)))
+        tiles = reduce(DataFrame.unionByName, [tile(df, dim, width, keep=by) for df, dim in present])
+        around = with_cell(todo, width).withColumnsRenamed({"cx": "_ox", "cy": "_oy"})
+        for axis in "xy":
+            cells = F.expr(f"sequence(_o{axis} - 1, _o{axis} + 1)")
+            around = around.withColumn(f"c{axis}", F.explode(cells))
         best = (
             around.join(tiles, [*by, "cx", "cy"])
-            .select(*keys, F.when(covered, F.lit(0.0)).otherwise(gap).alias("_sq"))
+            .select(*keys, F.expr(f"if({covered}, 0D, {gap})").alias("_sq"))
             .groupBy(*keys)
             .agg(F.min("_sq").alias("_sq"))
         )
         step = materialise(todo.join(best, keys, "left"))
-        final = F.coalesce(F.col("_sq") <= width * width, F.lit(False))
+        final = f"coalesce(_sq <= {num(width * width)}, false)"
         found.append(step.where(final).select(*keys, F.sqrt("_sq").alias("dist")))
-        todo = step.where(~final).drop("_sq")
+        todo = step.where(f"not {final}").drop("_sq")
         if todo.isEmpty():
             break
         width *= growth
@@ -168,90 +157,70 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
     """
     lt = prefixed(tile(lines, g.LINE_DIM, cell), "l_")
     at = prefixed(area_tiles(areas, cell, buffer), "r_")
-    lkeys = [c for c in lt.columns if c not in ("cx", "cy") and not c.startswith("l_")]
-    cell = float(cell)
-    x0, y0 = F.col("cx") * F.lit(cell), F.col("cy") * F.lit(cell)
-    x1, y1 = (F.col("cx") + 1) * F.lit(cell), (F.col("cy") + 1) * F.lit(cell)
-
-    parts = lt.select(*lkeys, "cx", "cy", F.explode("l_near").alias("e"))
-    e = F.col("e")
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-
-    def slab(origin: Column, step: Column, low: Column, high: Column) -> tuple[Column, Column]:
-        a, b = F.try_divide(low - origin, step), F.try_divide(high - origin, step)
-        aside = (step == 0) & ((origin < low) | (origin > high))
-        enter = F.when(aside, F.lit(2.0)).otherwise(F.coalesce(F.least(a, b), F.lit(0.0)))
-        return enter, F.coalesce(F.greatest(a, b), F.lit(1.0))
-
-    enter_x, leave_x = slab(e["x1"], dx, x0, x1)
-    enter_y, leave_y = slab(e["y1"], dy, y0, y1)
-    parts = parts.select(
-        *lkeys,
-        "cx",
-        "cy",
-        "e",
-        F.greatest(F.lit(0.0), enter_x, enter_y).alias("ta"),
-        F.least(F.lit(1.0), leave_x, leave_y).alias("tb"),
-    ).where(F.col("tb") > F.col("ta"))
-    middle = (F.col("ta") + F.col("tb")) / 2
-    parts = parts.where(
-        (cell_of(e["x1"] + middle * dx, cell) == F.col("cx")) & (cell_of(e["y1"] + middle * dy, cell) == F.col("cy"))
-    )
-
+    keys = _keys(lt, "l_")
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+
+    def share(axis: str, border: str) -> str:
+        return f"try_divide({border} * {num(cell)} - e.{axis}1, e.{axis}2 - e.{axis}1)"
+
+    parts = lt.selectExpr(*keys, "cx", "cy", "explode(l_near) as e")
+    enter, leave = ["0D"], ["1D"]
+    for axis in "xy":
+        a, b = share(axis, f"c{axis}"), share(axis, f"(c{axis} + 1)")
+        enter.append(f"coalesce(least({a}, {b}), 0D)")
+        leave.append(f"coalesce(greatest({a}, {b}), 1D)")
+    parts = parts.selectExpr(
+        *keys, "cx", "cy", "e", f"greatest({', '.join(enter)}) as ta", f"least({', '.join(leave)}) as tb"
+    ).where("tb > ta")
+    mid_x, mid_y = f"(e.x1 + (ta + tb) / 2 * {dx})", f"(e.y1 + (ta + tb) / 2 * {dy})"
+    parts = parts.where(f"{cell_sql(mid_x, cell)} = cx and {cell_sql(mid_y, cell)} = cy")
     joined = parts.join(at, ["cx", "cy"])
-    near_part = F.filter("r_near", lambda p: g.pieces_within(e, p, buffer))
-    joined = joined.withColumn("close", near_part)
-
-    def stops(p: Column) -> Column:
-        """Parameters where the line may enter or leave the piece's surroundings."""
-        gx, gy = p["x2"] - p["x1"], p["y2"] - p["y1"]
-        size = F.sqrt(gx * gx + gy * gy)
-        det = dx * gy - dy * gx
-
-        def meet(shift: float) -> Column:
-            ox = p["x1"] - F.try_divide(gy, size) * shift - e["x1"]
-            oy = p["y1"] + F.try_divide(gx, size) * shift - e["y1"]
-            return F.try_divide(ox * gy - oy * gx, det)
-
-        if buffer <= 0:
-            return F.array(meet(0.0))
-        out = [meet(0.0), meet(buffer), meet(-buffer)]
-        for px, py in ((p["x1"], p["y1"]), (p["x2"], p["y2"])):
-            ox, oy = e["x1"] - px, e["y1"] - py
-            a, b = dx * dx + dy * dy, dx * ox + dy * oy
-            disc = b * b - a * (ox * ox + oy * oy - buffer * buffer)
-            root = F.when(disc >= 0, F.sqrt(F.greatest(disc, F.lit(0.0))))
-            out += [F.try_divide(-b - root, a), F.try_divide(-b + root, a)]
-        return F.array(*out)
-
-    ta, tb = F.col("ta"), F.col("tb")
-    inner = F.filter(F.flatten(F.transform("close", stops)), lambda t: (t > ta) & (t < tb))
-    joined = joined.withColumn("ts", F.array_sort(F.array_distinct(F.concat(F.array(ta, tb), inner))))
-
-    def counts(t: Column) -> Column:
-        px, py = e["x1"] + t * dx, e["y1"] + t * dy
-        inside = g.locate(F.col("r_ray"), F.col("r_flip"), px, py) != 0
-        return inside | F.exists("close", lambda p: g.point_piece_sq(px, py, p) <= buffer * buffer)
-
-    ts = F.col("ts")
-    spans = F.zip_with(
-        F.slice(ts, F.lit(1), F.size(ts) - 1),
-        F.slice(ts, F.lit(2), F.size(ts) - 1),
-        lambda a, b: F.when(counts((a + b) / 2), b - a).otherwise(F.lit(0.0)),
+    joined = g.frozen(joined, joined.columns, {"close": f"filter(r_near, p -> {g.pieces_within('e', 'p', buffer)})"})
+
+    # Parameters where the line may enter or leave the surroundings of one piece.
+    gx, gy = "(p.x2 - p.x1)", "(p.y2 - p.y1)"
+    size = f"sqrt({gx} * {gx} + {gy} * {gy})"
+
+    def meet(shift: float) -> str:
+        ox = f"(p.x1 - {gy} / {size} * {num(shift)} - e.x1)" if shift else "(p.x1 - e.x1)"
+        oy = f"(p.y1 + {gx} / {size} * {num(shift)} - e.y1)" if shift else "(p.y1 - e.y1)"
+        return f"try_divide({ox} * {gy} - {oy} * {gx}, {dx} * {gy} - {dy} * {gx})"
+
+    stops = [meet(0.0)]
+    if buffer > 0:
+        stops += [meet(buffer), meet(-buffer)]
+        for n in "12":
+            ox, oy = f"(e.x1 - p.x{n})", f"(e.y1 - p.y{n})"
+            a, b = f"({dx} * {dx} + {dy} * {dy})", f"({dx} * {ox} + {dy} * {oy})"
+            disc = f"({b} * {b} - {a} * ({ox} * {ox} + {oy} * {oy} - {num(buffer * buffer)}))"
+            for sign in "+-":
+                stops.append(f"if({disc} >= 0, try_divide(-{b} {sign} sqrt(greatest({disc}, 0D)), {a}), null)")
+    inner = f"filter(flatten(transform(close, p -> array({', '.join(stops)}))), t -> t > ta and t < tb)"
+    joined = g.frozen(joined, joined.columns, {"ts": f"array_sort(array_distinct(concat(array(ta, tb), {inner})))"})
+
+    px, py = f"(e.x1 + s.m * {dx})", f"(e.y1 + s.m * {dy})"
+    counts = (
+        f"{g.locate('r_ray', 'r_flip', px, py)} <> 0"
+        f" or exists(close, p -> {g.point_piece_sq(px, py, 'p')} <= {num(buffer * buffer)})"
+    )
+    spans = (
+        "zip_with(slice(ts, 1, size(ts) - 1), slice(ts, 2, size(ts) - 1),"
+        " (a, b) -> named_struct('m', (a + b) / 2, 'w', b - a))"
     )
-    share = F.when(F.col("r_inside"), tb - ta).otherwise(F.aggregate(spans, F.lit(0.0), lambda acc, v: acc + v))
-    mid_x, mid_y = e["x1"] + middle * dx, e["y1"] + middle * dy
+    covered = f"aggregate(filter({spans}, s -> {counts}), 0D, (acc, s) -> acc + s.w)"
     meets = (
-        F.col("r_inside")
-        | F.exists("close", lambda p: g.pieces_touch(e, p))
-        | (g.locate(F.col("r_ray"), F.col("r_flip"), mid_x, mid_y) != 0)
+        f"r_inside or exists(close, p -> {g.pieces_touch('e', 'p')})"
+        f" or {g.locate('r_ray', 'r_flip', mid_x, mid_y)} <> 0"
     )
-    measured = joined.select(
-        *lkeys, *AREA_KEYS, (share * F.sqrt(dx * dx + dy * dy)).alias("part"), meets.alias("meets")
+    measured = joined.selectExpr(
+        *keys,
+        *AREA_KEYS,
+        f"if(r_inside, tb - ta, {covered}) * sqrt({dx} * {dx} + {dy} * {dy}) as part",
+        f"{meets} as meets",
     )
     return (
-        measured.groupBy(*lkeys, *AREA_KEYS)
+        measured.groupBy(*keys, *AREA_KEYS)
         .agg(F.sum("part").alias("length"), F.max("meets").alias("meets"))
-        .where(F.col("meets") & (F.col("length") > 0))
+        .where("meets and length > 0")
         .drop("meets")
     )

@@ -11,149 +11,117 @@ where the tiles are small they are broadcast from their measured size and the fe
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areastats.functions import geometry as g
+from areastats.functions.geometry import num
 
-TILE_COLUMNS = ["cx", "cy", "inside", "flip", "ray", "near"]
-PIECE = "struct<x1:double,y1:double,x2:double,y2:double>"
+PAYLOAD = ["inside", "flip", "ray", "near"]
 
 
-def cell_of(value: Column, cell: float) -> Column:
-    return F.floor(value / F.lit(float(cell)))
+def cell_sql(value: str, cell: float) -> str:
+    return f"floor(({value}) / {num(cell)})"
 
 
 def with_cell(points: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
     """Add the cell of each point; points without coordinates drop out."""
-    return (
-        points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .withColumn("cx", cell_of(F.col(x), cell))
-        .withColumn("cy", cell_of(F.col(y), cell))
-    )
-
-
-def _bare(e: Column) -> Column:
-    return F.struct(*[e[n].alias(n) for n in ("x1", "y1", "x2", "y2")])
-
+    placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return placed.withColumns({"cx": F.expr(cell_sql(x, cell)), "cy": F.expr(cell_sql(y, cell))})
 
-def _top(e: Column) -> Column:
-    return F.greatest(e["y1"], e["y2"])
 
-
-def _bottom(e: Column) -> Column:
-    return F.least(e["y1"], e["y2"])
+def _bare(pieces: str) -> str:
+    return f"transform({pieces}, e -> {g.piece('e.x1', 'e.y1', 'e.x2', 'e.y2')})"
 
 
 def tile(features: DataFrame, dim: int, cell: float, reach: float = 0.0, keep: list[str] | None = None) -> DataFrame:
     """One row per feature and cell it touches, covers, or comes within `reach` of."""
-    keep = keep or [c for c in features.columns if c not in ("rings", "x", "y")]
+    if keep is None:
+        keep = [c for c in features.columns if c not in ("rings", "x", "y")]
+    keys = [f"`{c}`" for c in keep]
     if dim == g.POINT_DIM:
-        return _point_tiles(features, cell, reach, keep)
-
-    cell, reach, eps = float(cell), float(reach), float(cell) * 1e-6
-    shaped = features.select(*keep, g.edges(F.col("rings"), dim).alias("_e")).where(F.size("_e") > 0)
-    lowest = F.array_min(F.transform("_e", _bottom)) - reach
-    highest = F.array_max(F.transform("_e", _top)) + reach
-    rows = shaped.select(
-        *keep, "_e", F.explode(F.sequence(cell_of(lowest, cell), cell_of(highest, cell))).alias("cy")
-    )
-
-    y0, y1 = F.col("cy") * F.lit(cell), (F.col("cy") + 1) * F.lit(cell)
-
-    def x_at(e: Column, y: Column) -> Column:
-        clamped = F.least(F.greatest(y, _bottom(e)), _top(e))
-        return e["x1"] + (e["x2"] - e["x1"]) * F.coalesce(
-            F.try_divide(clamped - e["y1"], e["y2"] - e["y1"]), F.lit(0.0)
-        )
-
-    def spanned(e: Column) -> Column:
-        """The piece with the x range it covers within reach of this row of cells."""
-        flat = e["y1"] == e["y2"]
-        a, b = x_at(e, y0 - reach), x_at(e, y1 + reach)
-        return F.struct(
-            *[e[n].alias(n) for n in ("x1", "y1", "x2", "y2")],
-            F.when(flat, F.least(e["x1"], e["x2"])).otherwise(F.least(a, b)).alias("lo"),
-            F.when(flat, F.greatest(e["x1"], e["x2"])).otherwise(F.greatest(a, b)).alias("hi"),
-        )
-
-    in_row = F.filter("_e", lambda e: (_bottom(e) - reach - eps <= y1) & (_top(e) + reach + eps >= y0))
-    bands = rows.select(*keep, "cy", F.transform(in_row, spanned).alias("_b")).where(F.size("_b") > 0)
-
-    left = F.array_min(F.transform("_b", lambda e: e["lo"])) - reach - eps
-    right = F.array_max(F.transform("_b", lambda e: e["hi"])) + reach + eps
-    cells = bands.select(
-        *keep, "cy", "_b", F.explode(F.sequence(cell_of(left, cell), cell_of(right, cell))).alias("cx")
-    )
-
-    x0, x1 = F.col("cx") * F.lit(cell), (F.col("cx") + 1) * F.lit(cell)
-    crosses_row = lambda e: (_bottom(e) - eps <= y1) & (_top(e) + eps >= y0)
-    whole_row_right = lambda e: (e["lo"] > x1 + eps) & (_bottom(e) <= y0 - eps) & (_top(e) >= y1 + eps)
-
-    near = F.filter("_b", lambda e: (e["hi"] + reach + eps >= x0) & (e["lo"] - reach - eps <= x1))
-    touched = F.exists("_near", lambda e: (e["hi"] + eps >= x0) & (e["lo"] - eps <= x1) & crosses_row(e))
-    staged = cells.select(*keep, "cx", "cy", "_b", near.alias("_near"))
+        return _point_tiles(features, cell, reach, keys)
+
+    r, eps = num(reach), num(cell * 1e-6)
+    low, high = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
+    y0, y1 = f"(cy * {num(cell)})", f"((cy + 1) * {num(cell)})"
+    x0, x1 = f"(cx * {num(cell)})", f"((cx + 1) * {num(cell)})"
+
+    shaped = g.frozen(features, keys, {"_e": g.pieces(dim)})
+    lowest = cell_sql(f"array_min(transform(_e, e -> {low})) - {r}", cell)
+    highest = cell_sql(f"array_max(transform(_e, e -> {high})) + {r}", cell)
+    rows = shaped.selectExpr(*keys, "_e", f"explode(sequence({lowest}, {highest})) as cy")
+
+    def x_at(y: str) -> str:
+        clamped = f"least(greatest({y}, {low}), {high})"
+        return f"e.x1 + (e.x2 - e.x1) * coalesce(try_divide({clamped} - e.y1, e.y2 - e.y1), 0D)"
+
+    # Per row of cells: the pieces within reach of it and the x range each covers there.
+    in_row = f"filter(_e, e -> {low} - {r} - {eps} <= {y1} and {high} + {r} + {eps} >= {y0})"
+    a, b = x_at(f"{y0} - {r}"), x_at(f"{y1} + {r}")
+    spanned = (
+        "transform({0}, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2,"
+        " 'lo', if(e.y1 = e.y2, least(e.x1, e.x2), least({1}, {2})),"
+        " 'hi', if(e.y1 = e.y2, greatest(e.x1, e.x2), greatest({1}, {2}))))"
+    ).format(in_row, a, b)
+    bands = g.frozen(rows, [*keys, "cy"], {"_b": spanned})
+    left = cell_sql(f"array_min(transform(_b, e -> e.lo)) - {r} - {eps}", cell)
+    right = cell_sql(f"array_max(transform(_b, e -> e.hi)) + {r} + {eps}", cell)
+    cells = bands.selectExpr(*keys, "cy", "_b", f"explode(sequence({left}, {right})) as cx")
+
+    near = f"filter(_b, e -> e.hi + {r} + {eps} >= {x0} and e.lo - {r} - {eps} <= {x1})"
+    staged = g.frozen(cells, [*keys, "cx", "cy", "_b"], {"_near": near})
     if dim == g.LINE_DIM:
-        return staged.where(F.size("_near") > 0).select(
-            *keep,
-            "cx",
-            "cy",
-            F.lit(False).alias("inside"),
-            F.lit(0).alias("flip"),
-            F.array().cast(g.EDGES_TYPE).alias("ray"),
-            F.transform("_near", _bare).alias("near"),
+        return staged.where("size(_near) > 0").selectExpr(
+            *keys, "cx", "cy", "false as inside", "0 as flip", f"{g.NO_PIECES} as ray", f"{_bare('_near')} as near"
         )
 
-    ahead = F.filter("_b", lambda e: crosses_row(e) & (e["hi"] + eps >= x0))
-    staged = staged.select(
-        *keep,
-        "cx",
-        "cy",
-        "_near",
-        touched.alias("_touched"),
-        (F.size(F.filter("_b", lambda e: crosses_row(e) & whole_row_right(e))) % 2).alias("flip"),
-        F.transform(F.filter(ahead, lambda e: ~whole_row_right(e)), _bare).alias("ray"),
+    crosses_row = f"({low} - {eps} <= {y1} and {high} + {eps} >= {y0})"
+    beyond = f"(e.lo > {x1} + {eps} and {low} <= {y0} - {eps} and {high} >= {y1} + {eps})"
+    touched = f"exists(_near, e -> e.hi + {eps} >= {x0} and e.lo - {eps} <= {x1} and {crosses_row})"
+    ray = f"filter(_b, e -> {crosses_row} and e.hi + {eps} >= {x0} and not {beyond})"
+    staged = g.frozen(
+        staged,
+        [*keys, "cx", "cy", "_near"],
+        {"_touched": touched, "flip": f"size(filter(_b, e -> {crosses_row} and {beyond})) % 2", "ray": _bare(ray)},
     )
-    centre = g.locate(
-        F.col("ray"), F.col("flip"), (F.col("cx") + 0.5) * F.lit(cell), (F.col("cy") + 0.5) * F.lit(cell)
+    centre = g.locate("ray", "flip", f"((cx + 0.5D) * {num(cell)})", f"((cy + 0.5D) * {num(cell)})")
+    staged = g.frozen(
+        staged,
+        [*keys, "cx", "cy", "_near", "_touched", "flip", "ray"],
+        {"inside": f"not _touched and {centre} = 1"},
     )
-    staged = staged.withColumn("inside", ~F.col("_touched") & (centre == 1))
-    empty = F.array().cast(g.EDGES_TYPE)
-    return staged.where(F.col("inside") | F.col("_touched") | (F.size("_near") > 0)).select(
-        *keep,
+    return staged.where("inside or _touched or size(_near) > 0").selectExpr(
+        *keys,
         "cx",
         "cy",
         "inside",
-        F.when(F.col("_touched"), F.col("flip")).otherwise(0).alias("flip"),
-        F.when(F.col("_touched"), F.col("ray")).otherwise(empty).alias("ray"),
-        F.transform("_near", _bare).alias("near"),
+        "if(_touched, flip, 0) as flip",
+        f"if(_touched, ray, {g.NO_PIECES}) as ray",
+        f"{_bare('_near')} as near",
     )
 
 
-def _point_tiles(points: DataFrame, cell: float, reach: float, keep: list[str]) -> DataFrame:
+def _point_tiles(points: DataFrame, cell: float, reach: float, keys: list[str]) -> DataFrame:
     """A point as a piece of zero length, in every cell within reach."""
-    x, y = F.col("x"), F.col("y")
-    base = points.where(x.isNotNull() & y.isNotNull())
+    base = points.where("x is not null and y is not null")
     if reach > 0:
-        base = base.withColumn("cx", F.explode(F.sequence(cell_of(x - reach, cell), cell_of(x + reach, cell))))
-        base = base.withColumn("cy", F.explode(F.sequence(cell_of(y - reach, cell), cell_of(y + reach, cell))))
+        for axis in "xy":
+            cells = f"sequence({cell_sql(f'{axis} - {num(reach)}', cell)}, {cell_sql(f'{axis} + {num(reach)}', cell)})"
+            base = base.withColumn(f"c{axis}", F.explode(F.expr(cells)))
     else:
         base = with_cell(base, cell)
-    return base.select(
-        *keep,
+    return base.selectExpr(
+        *keys,
         "cx",
         "cy",
-        F.lit(False).alias("inside"),
-        F.lit(0).alias("flip"),
-        F.array().cast(g.EDGES_TYPE).alias("ray"),
-        F.array(F.struct(x.alias("x1"), y.alias("y1"), x.alias("x2"), y.alias("y2"))).alias("near"),
+        "false as inside",
+        "0 as flip",
+        f"{g.NO_PIECES} as ray",
+        f"array({g.piece('x', 'y', 'x', 'y')}) as near",
     )
 
 
 def prefixed(tiles: DataFrame, prefix: str) -> DataFrame:
     """Rename the payload so that two tile sets can meet in one join."""
-    return reduce(
-        lambda df, c: df.withColumnRenamed(c, prefix + c), ["inside", "flip", "ray", "near"], tiles
-    )
+    return tiles.withColumnsRenamed({c: prefix + c for c in PAYLOAD})
