@@ -332,32 +332,33 @@ def _struct_type(source: str, indicators: list[Indicator]) -> T.StructType:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in dict.fromkeys(names)])
 
 
-def combine(areas: DataFrame, frames: dict[str, DataFrame], indicators: list[Indicator]) -> DataFrame:
-    """Wide summary of all geographies: base columns and every indicator column with its type.
+def stack(frames: dict[str, DataFrame]) -> DataFrame:
+    """One row per area with a struct column per source: the frames are stacked and grouped once.
 
-    A source without a frame gives null columns. Where a source has several rows for an area, one whole row is used
-    (the largest), so the result does not depend on row order.
+    Where a source has several rows for an area, one whole row is used (the largest), so the result does not depend on
+    row order.
     """
-    types = {name: df.schema[name].dataType for name, df in frames.items()}
+    kinds = {f.name: f.dataType.simpleString() for df in frames.values() for f in df.schema if f.name not in AREA_KEYS}
     stacked = [
-        df.select(
-            *AREA_KEYS,
-            *[
-                (F.col(f"`{n}`") if n == name else F.lit(None).cast(types[n])).alias(n)
-                for n in frames
-            ],
-        )
-        for name, df in frames.items()
+        df.selectExpr(*AREA_KEYS, *[f"`{n}`" if n in df.columns else f"cast(null as {t}) as `{n}`" for n, t in kinds.items()])
+        for df in frames.values()
     ]
+    return _union(stacked).groupBy(*AREA_KEYS).agg(*[F.max(f"`{n}`").alias(n) for n in kinds])
+
+
+def combine(areas: DataFrame, frames: dict[str, DataFrame], indicators: list[Indicator]) -> DataFrame:
+    """Wide summary of all geographies: base columns and every indicator column with its type.
+
+    A source without a frame gives null columns.
+    """
     base = summary_base(areas)
-    if stacked:
-        merged = _union(stacked).groupBy(*AREA_KEYS).agg(*[F.max(f"`{n}`").alias(n) for n in frames])
-        base = base.join(merged, AREA_KEYS, "left")
+    if frames:
+        base = base.join(stack(frames), AREA_KEYS, "left")
     sources = dict.fromkeys(s for ind in indicators for s in (ind.source, *ind.also))
     missing = {
         s: F.lit(None).cast(_struct_type(s, indicators) if s not in EXTRA_TYPES else EXTRA_TYPES[s])
         for s in sources
-        if s not in frames
+        if s not in base.columns
     }
     if missing:
         base = base.withColumns(missing)
@@ -426,15 +427,19 @@ def run(inputs: Inputs, root: str, year: str, params: Parameters | None = None,
     if rerun and _exists(spark, f"{home}/run_log"):
         log = spark.read.parquet(f"{home}/run_log")
         todo = {r["indicator"] for r in pending(wanted, log).select("indicator").distinct().collect()}
+    builders = sources.builders()
+    # The survey sources are narrow and many, so they share one job; every other source is a job of its own.
+    together = [name for name in builders if name in inputs.survey]
+    batches = ([("survey", together)] if together else []) + [(n, [n]) for n in builders if n not in together]
     frames = {}
-    for name, build in sources.builders().items():
-        used_by = {i.name for i in sources.indicators if name in (i.source, *i.also)}
-        stored = f"measures/{name}"
-        if used_by & todo or not _exists(spark, f"{home}/{stored}"):
-            replace_table(build(), home, stored)
-        frames[name] = spark.read.parquet(f"{home}/{stored}")
-        done = wanted.where(F.col("indicator").isin(*used_by))
-        append_table(done, home, "run_log")
+    for stored, names in batches:
+        used_by = {i.name for i in sources.indicators if {i.source, *i.also} & set(names)}
+        path = f"measures/{stored}"
+        if used_by & todo or not _exists(spark, f"{home}/{path}"):
+            built = stack({n: builders[n]() for n in names})
+            replace_table(built, home, path)
+            append_table(wanted.where(F.col("indicator").isin(*used_by)), home, "run_log")
+        frames[stored] = spark.read.parquet(f"{home}/{path}")
     summary = combine(inputs.areas, frames, sources.indicators)
     replace_table(summary, home, "summary", ["geography"])
     sources.release()
