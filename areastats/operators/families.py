@@ -118,18 +118,15 @@ def pair_count(
 
 
 def nearest_to_areas(
-    areas: DataFrame, layers: list[tuple[DataFrame, int]], cell: float, by: list[str] | None = None
+    areas: DataFrame, layers: list[tuple[DataFrame, int]], cell: float, by: str | None = None, names: list[str] | None = None
 ) -> DataFrame:
-    """Miles from each area's centroid to the nearest feature, for every layer named in `by`."""
-    by = by or []
+    """Miles from each area's centroid to the nearest feature; with `by`, for each of the layers in `names`."""
     centres = representative_points(areas.select(*AREA_KEYS, "rings"), g.POLYGON_DIM)
     if by:
-        from functools import reduce
-
-        names = reduce(DataFrame.unionByName, [df.select(*by) for df, _ in layers]).distinct()
-        centres = centres.crossJoin(F.broadcast(names))  # a layer name per indicator: a fixed, short list
-    dist = nearest_distance(centres, layers, cell, by)
-    return dist.select(*AREA_KEYS, *by, (F.col("dist") / FEET_PER_MILE).alias("miles"))
+        centres = centres.withColumn(by, F.explode(F.array(*[F.lit(n) for n in names])))
+    keys = [by] if by else []
+    dist = nearest_distance(centres, layers, cell, keys)
+    return dist.select(*AREA_KEYS, *keys, (F.col("dist") / FEET_PER_MILE).alias("miles"))
 
 
 def roll_up(

@@ -175,7 +175,8 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
     mid_x, mid_y = f"(e.x1 + (ta + tb) / 2 * {dx})", f"(e.y1 + (ta + tb) / 2 * {dy})"
     parts = parts.where(f"{cell_sql(mid_x, cell)} = cx and {cell_sql(mid_y, cell)} = cy")
     joined = parts.join(at, ["cx", "cy"])
-    joined = g.frozen(joined, joined.columns, {"close": f"filter(r_near, p -> {g.pieces_within('e', 'p', buffer)})"})
+    close = f"if(r_inside, {g.NO_PIECES}, filter(r_near, p -> {g.pieces_within('e', 'p', buffer)}))"
+    joined = g.frozen(joined, joined.columns, {"close": close})
 
     # Parameters where the line may enter or leave the surroundings of one piece.
     gx, gy = "(p.x2 - p.x1)", "(p.y2 - p.y1)"
@@ -196,7 +197,8 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
             for sign in "+-":
                 stops.append(f"if({disc} >= 0, try_divide(-{b} {sign} sqrt(greatest({disc}, 0D)), {a}), null)")
     inner = f"filter(flatten(transform(close, p -> array({', '.join(stops)}))), t -> t > ta and t < tb)"
-    joined = g.frozen(joined, joined.columns, {"ts": f"array_sort(array_distinct(concat(array(ta, tb), {inner})))"})
+    cuts = f"if(size(close) = 0, array(ta, tb), array_sort(array_distinct(concat(array(ta, tb), {inner}))))"
+    joined = g.frozen(joined, joined.columns, {"ts": cuts})
 
     px, py = f"(e.x1 + s.m * {dx})", f"(e.y1 + s.m * {dy})"
     counts = (

@@ -298,7 +298,7 @@ class SourceFrames:
 
     def _nearest(self) -> DataFrame:
         """All nearest-distance layers in one search; tracts and ZIP areas directly, the others from their tracts."""
-        parts = []
+        parts, names = [], []
         for column, layer, code in NEAREST.values():
             if layer not in self.inputs.layers:
                 continue
@@ -306,9 +306,10 @@ class SourceFrames:
             df = have.df if code is None else have.df.where(F.col("fcode") == code)
             shape = ["x", "y"] if have.dim == g.POINT_DIM else ["rings"]
             parts.append((df.select(F.lit(column).alias("target"), *shape), have.dim))
+            names.append(column)
         areas = self.inputs.areas
         direct = areas.where(F.col("geography").isin(TRACT, ZIP))
-        miles = nearest_to_areas(direct, parts, self.params.cell, ["target"])
+        miles = nearest_to_areas(direct, parts, self.params.cell, "target", names)
         tracts = areas.where(F.col("geography") == TRACT)
         coarse = self.tiles().where(~F.col("geography").isin(TRACT, ZIP))
         rolled = roll_up(

@@ -37,7 +37,6 @@ def _filled(values: DataFrame, prefix: int) -> DataFrame:
 
     chunks = rows.groupBy(*group, "chunk").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col("mark.pos").alias("pos"), "v")).alias("_low"),
         F.min_by("mark", F.when(F.col("mark").isNotNull(), F.col("pos"))).alias("first"),
         F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("pos"))).alias("last"),
     )
@@ -81,7 +80,8 @@ def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
     """Breaks for rows `(table_name, geoid10, columns…)` of one or several summary tables with the same columns.
 
     A null first row (in geoid order) is replaced by the median, inner gaps are filled linearly, trailing gaps keep the
-    last value; the minimum is that of the given values. Text columns and columns without any value give zeros.
+    last value; the minimum is that of the given values. Text columns and columns without any value give zeros. A group
+    of the quantile aggregate is one column of one summary table, so it holds at most one value per area.
     """
     columns = [f for f in summary.schema.fields if f.name not in NO_LEGEND]
     numbers = [f.name for f in columns if isinstance(f.dataType, T.NumericType)]
@@ -89,7 +89,6 @@ def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
     group = ["table_name", "column_name"]
     values = _long(summary, numbers)
     stats = values.groupBy(*group).agg(
-        F.min_by("v", "geoid10").alias("first"),
         F.min("geoid10").alias("first_id"),
         F.expr("percentile(v, 0.5)").alias("median"),
         F.min("v").alias("low"),
@@ -100,9 +99,7 @@ def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
     breaks = filled.groupBy(*group).agg(
         F.expr(f"percentile(v, array({', '.join(map(str, QUINTILES))}))").alias("q")
     )
-    # The minimum is taken after the first row was replaced, as the quantiles are.
-    low = F.when(F.col("first").isNull(), F.least("low", "median")).otherwise(F.col("low"))
-    joined = breaks.join(stats.select(*group, low.alias("low")), group)
+    joined = breaks.join(stats.select(*group, "low"), group)
     rounded = [F.coalesce(F.bround(F.col("q")[i], 2), F.lit(0.0)).alias(f"q{i + 1}") for i in range(5)]
     out = joined.select(*group, F.coalesce(F.bround("low", 2), F.lit(0.0)).alias("min"), *rounded)
     if others:

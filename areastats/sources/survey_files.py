@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,18 +41,29 @@ def sequence_cells(spark: SparkSession, path: str, width: int = MAX_SEQUENCE_COL
     )
 
 
+# Bytes 0x80 to 0x9f are letters and quotes in windows-1252 but control characters in ISO-8859-1, the closest charset
+# Spark reads; all other bytes agree.
+_SPECIAL = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_LATIN = "".join(chr(b) for b in _SPECIAL)
+_WINDOWS = bytes(_SPECIAL).decode("cp1252")
+
+
+def _windows_text(value: Column) -> Column:
+    return F.translate(value, _LATIN, _WINDOWS)
+
+
 def geoheader_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in GEOHEADER_FIELDS])
-    raw = spark.read.schema(schema).option("encoding", "windows-1252").option("quote", '"').csv(path)
-    return raw.select(*[missing(F.col(n)).alias(n) for n in GEOHEADER_FIELDS])
+    raw = spark.read.schema(schema).option("encoding", "ISO-8859-1").option("quote", '"').csv(path)
+    return raw.select(*[missing(_windows_text(F.col(n))).alias(n) for n in GEOHEADER_FIELDS])
 
 
 def geoheader_fixed(spark: SparkSession, path: str) -> DataFrame:
     """Fixed-width geoheader of the years before 2011, which lack the last three fields."""
-    lines = spark.read.option("encoding", "windows-1252").text(path)
+    lines = spark.read.schema("value string").option("header", False).option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").csv(path)
     columns, start = [], 1
     for name, width in GEOHEADER_WIDTHS[: len(OLD_GEOHEADER_FIELDS)]:
-        columns.append(missing(F.rtrim(F.substring("value", start, width))).alias(name))
+        columns.append(missing(F.rtrim(F.substring(_windows_text(F.col("value")), start, width))).alias(name))
         start += width
     return lines.select(*columns)
 
