@@ -164,7 +164,7 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """WITH f AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'b' || lpad(CAST(p_size AS VARCHAR), 5, '0') || lpad(CAST(p_partkey % 5 AS VARCHAR), 3, '0')
       WHEN 1 THEN 'layer_' || p_size ELSE 'other_' || p_partkey END field, p_size, p_partkey % 5 ln FROM part),
-  d AS (SELECT DISTINCT field, p_size, ln, p_partkey % 3 g FROM f)
+  d AS (SELECT DISTINCT field, p_size, CASE WHEN p_partkey % 3 = 0 THEN ln END ln, p_partkey % 3 g FROM f)
   SELECT CASE g WHEN 0 THEN CASE WHEN p_size % 2 = 0 THEN 'percent' ELSE '' END WHEN 1 THEN 'miles' ELSE 'NA' END AS units, field,
   CASE g WHEN 0 THEN CASE WHEN p_size % 2 = 0 THEN 'ACS16' ELSE '' END WHEN 1 THEN 'LYR16' ELSE 'NA' END AS citation,
   CASE g WHEN 0 THEN 'Table ' || p_size || ':' || CASE WHEN ln < 3 THEN 'Line ' || ln ELSE '' END WHEN 1 THEN 'Layer ' || p_size ELSE 'NA' END AS field_desc FROM d"""
