@@ -210,15 +210,18 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
         " (a, b) -> named_struct('m', (a + b) / 2, 'w', b - a))"
     )
     covered = f"aggregate(filter({spans}, s -> {counts}), 0D, (acc, s) -> acc + s.w)"
+    joined = g.frozen(
+        joined, [*keys, *AREA_KEYS, "e", "ta", "tb", "r_inside", "r_ray", "r_flip", "close"],
+        {"share": f"if(r_inside, tb - ta, {covered})"},
+    )
+    # Without a piece nearby the part lies on one side as a whole, so its share already tells which.
+    touches = "true" if buffer <= 0 else f"exists(close, p -> {g.pieces_touch('e', 'p')})"
     meets = (
-        f"r_inside or exists(close, p -> {g.pieces_touch('e', 'p')})"
-        f" or {g.locate('r_ray', 'r_flip', mid_x, mid_y)} <> 0"
+        f"r_inside or if(size(close) = 0, share > 0,"
+        f" {touches} or {g.locate('r_ray', 'r_flip', mid_x, mid_y)} <> 0)"
     )
     measured = joined.selectExpr(
-        *keys,
-        *AREA_KEYS,
-        f"if(r_inside, tb - ta, {covered}) * sqrt({dx} * {dx} + {dy} * {dy}) as part",
-        f"{meets} as meets",
+        *keys, *AREA_KEYS, f"share * sqrt({dx} * {dx} + {dy} * {dy}) as part", f"{meets} as meets"
     )
     return (
         measured.groupBy(*keys, *AREA_KEYS)

@@ -29,6 +29,7 @@ from areastats.registered.base import (
     supplier_points,
     table,
 )
+from areastats.session import materialise
 
 
 @query(f"WITH {AREA_CTE}, {CUSTOMER_CTE} SELECT geography, geoid10, count(*) AS n FROM cust JOIN area ON {IN_AREA} GROUP BY ALL")
@@ -126,7 +127,7 @@ _CLIP = f"""{AREA_CTE}, {_LINES},
 def clip_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of lines within areas per square mile, without a buffer."""
     shapes = areas(spark, sf_dir)
-    clipped = sp.clipped_length(_supplier_lines(spark, sf_dir), shapes.select(*sp.AREA_KEYS, "rings"), 50000.0, 0.0)
+    clipped = sp.clipped_length(_supplier_lines(spark, sf_dir), shapes.select(*sp.AREA_KEYS, "rings"), 30000.0, 0.0)
     sums = clipped.groupBy(*sp.AREA_KEYS).agg(F.count(F.lit(1)).alias("lines"), F.sum("length").alias("length"))
     size = shapes.select("geography", "geoid10", (F.col("aland10") / 2589988.0).alias("sqmi"))
     per = F.round(F.col("length") / 5280 / F.col("sqmi"), 3)
@@ -283,7 +284,10 @@ def clip_to_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _survey_like(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Survey tables of one row per nation, counted from orders and customers."""
+    """Survey tables of one row per nation, counted from orders and customers.
+
+    Five tables come from one aggregate, which is written once so that the orders are scanned once.
+    """
     orders = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
@@ -301,6 +305,7 @@ def _survey_like(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .agg(*[F.sum(c).cast("double").alias(c) for c in columns], F.count(F.lit(1)).cast("double").alias("people"))
         .selectExpr("lpad(cast(c_nationkey as string), 2, '0') as geoid", "'140' as sumlevel", "*")
     )
+    per = materialise(per)
 
     def lines(names: dict[str, str]) -> DataFrame:
         return per.selectExpr("geoid", "sumlevel", *[f"`{v}` as {k}" for k, v in names.items()])

@@ -20,8 +20,12 @@ def build_session(master: str | None = None, app: str = "areastats", **conf: str
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Shapes are much work per byte: keep small shuffles spread over the cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The catalogue builds many column expressions; recording the Python call site of each costs seconds.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         **conf,
     }
