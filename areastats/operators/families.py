@@ -100,13 +100,18 @@ def flag_share(
 def pairs_within(units: DataFrame, others: DataFrame, other_dim: int, cell: float, reach: float) -> DataFrame:
     """Point units (`feature_id`, `x`, `y`) with `pairs`, the number of other features within reach, at least 1.
 
-    The least of 1 is what counting the rows of a left join gives a unit without partner.
+    The least of 1 is what counting the rows of a left join gives a unit without partner. Copies at one place are paired
+    once and counted with their number.
     """
-    shapes = ["rings"] if other_dim != g.POINT_DIM else ["x", "y"]
-    right = others.select(F.col("feature_id").alias("other_id"), *shapes)
-    found = near_pairs(units.select("feature_id", "x", "y"), g.POINT_DIM, right, other_dim, cell, reach)
-    counts = found.groupBy("feature_id").agg(F.count("other_id").alias("pairs"))
-    return units.join(counts, "feature_id", "left").withColumn("pairs", F.coalesce("pairs", F.lit(1)))
+    if other_dim == g.POINT_DIM:
+        right = others.groupBy("x", "y").agg(F.min("feature_id").alias("other_id"), F.count(F.lit(1)).alias("weight"))
+    else:
+        right = others.select(F.col("feature_id").alias("other_id"), F.lit(1).alias("weight"), "rings")
+    spots = units.groupBy("x", "y").agg(F.min("feature_id").alias("spot"))
+    found = near_pairs(spots, g.POINT_DIM, right, other_dim, cell, reach)
+    counts = found.groupBy("spot").agg(F.sum("weight").alias("pairs"))
+    here = spots.join(counts, "spot").select("x", "y", "pairs")
+    return units.join(here, ["x", "y"], "left").withColumn("pairs", F.coalesce("pairs", F.lit(1)))
 
 
 def pair_count(

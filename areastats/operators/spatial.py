@@ -103,23 +103,26 @@ def nearest_distance(
     Each round looks at the 3 x 3 cells around a point: everything within one cell width lies there, so a distance up to
     the cell width is final. Points without one go on with wider cells until none is left, which keeps the result exact
     for any spacing without pairing every point with every feature. A round is written to the shared folder, so a lost
-    executor does not repeat the earlier ones.
+    executor does not repeat the earlier ones. Copies at one place are searched once, on either side, so a pile of copies
+    does not multiply. The answers are joined back by place, so x and y must not change when they are computed again.
     """
     by = by or []
-    keys = [c for c in points.columns if c not in ("x", "y")]
+    keys = [*by, "x", "y"]
+    answer = [c for c in points.columns if c not in ("x", "y")]
     shapes = {g.POINT_DIM: ["x", "y"], g.LINE_DIM: ["rings"], g.POLYGON_DIM: ["rings"]}
     some = {g.POINT_DIM: "x is not null and y is not null"}
     present = []
     for dim, shape in shapes.items():
         same = [df.select(*by, *shape) for df, d in layers if d == dim]
         if same:
-            present.append((reduce(DataFrame.unionByName, same).where(some.get(dim, "size(rings) > 0")), dim))
-    located = points.where("x is not null and y is not null")
+            have = reduce(DataFrame.unionByName, same).where(some.get(dim, "size(rings) > 0"))
+            present.append((have.distinct() if dim == g.POINT_DIM else have, dim))
+    located = points.where("x is not null and y is not null").select(*by, "x", "y").distinct()
     if by:
         listed = reduce(DataFrame.unionByName, [df.select(*by).distinct() for df, _ in present]).distinct()
         todo = located.join(listed, by, "left_semi")
     elif all(df.isEmpty() for df, _ in present):
-        return points.select(*keys, F.lit(None).cast("double").alias("dist"))
+        return points.select(*answer, F.lit(None).cast("double").alias("dist"))
     else:
         todo = located
 
@@ -145,7 +148,7 @@ def nearest_distance(
         if todo.isEmpty():
             break
         width *= growth
-    return points.select(*keys).join(reduce(DataFrame.unionByName, found), keys, "left")
+    return points.join(reduce(DataFrame.unionByName, found), keys, "left").select(*answer, "dist")
 
 
 def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: float = 0.5) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from areastats.operators.ranking import exact_quantiles
+
 QUINTILES = [0.2, 0.4, 0.6, 0.8, 1.0]
 NO_LEGEND = ("geoid10", "sqmiland", "name10", "id", "geography", "table_name")
 OUT = ["table_name", "column_name", "min", "q1", "q2", "q3", "q4", "q5"]
@@ -64,6 +66,7 @@ def _filled(values: DataFrame, prefix: int) -> DataFrame:
 
     joined = joined.select(
         *group,
+        "geoid10",
         "v",
         (F.col("start") + F.col("pos")).alias("pos"),
         pick("prev", "chunk_prev").alias("a"),
@@ -73,15 +76,15 @@ def _filled(values: DataFrame, prefix: int) -> DataFrame:
         F.col("pos") - F.col("a.pos"), F.col("b.pos") - F.col("a.pos")
     )
     value = F.coalesce("v", F.when(F.col("b").isNotNull(), between).otherwise(F.col("a.v")))
-    return joined.select(*group, value.alias("v"))
+    return joined.select(*group, "geoid10", value.alias("v"))
 
 
 def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
     """Breaks for rows `(table_name, geoid10, columns…)` of one or several summary tables with the same columns.
 
     A null first row (in geoid order) is replaced by the median, inner gaps are filled linearly, trailing gaps keep the
-    last value; the minimum is that of the given values. Text columns and columns without any value give zeros. A group
-    of the quantile aggregate is one column of one summary table, so it holds at most one value per area.
+    last value; the minimum is that of the given values. Text columns and columns without any value give zeros. `prefix`
+    is the number of leading geoid characters that cut a column into chunks for gap filling.
     """
     columns = [f for f in summary.schema.fields if f.name not in NO_LEGEND]
     numbers = [f.name for f in columns if isinstance(f.dataType, T.NumericType)]
@@ -90,16 +93,14 @@ def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
     values = _long(summary, numbers)
     stats = values.groupBy(*group).agg(
         F.min("geoid10").alias("first_id"),
-        F.expr("percentile(v, 0.5)").alias("median"),
         F.min("v").alias("low"),
     )
-    with_first = values.join(stats, group)
+    medians = exact_quantiles(values, group, "v", "geoid10", [0.5]).select(*group, F.col("q")[0].alias("median"))
+    with_first = values.join(stats, group).join(medians, group, "left")
     lead = F.when((F.col("geoid10") == F.col("first_id")) & F.col("v").isNull(), F.col("median")).otherwise(F.col("v"))
     filled = _filled(with_first.select(*group, "geoid10", lead.alias("v")), prefix)
-    breaks = filled.groupBy(*group).agg(
-        F.expr(f"percentile(v, array({', '.join(map(str, QUINTILES))}))").alias("q")
-    )
-    joined = breaks.join(stats.select(*group, "low"), group)
+    breaks = exact_quantiles(filled, group, "v", "geoid10", QUINTILES)
+    joined = stats.select(*group, "low").join(breaks, group, "left")
     rounded = [F.coalesce(F.bround(F.col("q")[i], 2), F.lit(0.0)).alias(f"q{i + 1}") for i in range(5)]
     out = joined.select(*group, F.coalesce(F.bround("low", 2), F.lit(0.0)).alias("min"), *rounded)
     if others:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from areastats.operators.ranking import with_rank
+
 NOT_EXPORTED = ("spatial_ref_sys", "legend_values", "data_dictionary", "data_dictionary_chng", "data_sources")
 NOT_PUBLISHED = ("spatial_ref_sys", "data_sources")
 PROMOTED = {
@@ -22,35 +23,17 @@ def export_name(table: str, year: str) -> str:
     return f"{parts[2]}_{year}" if len(parts) < 5 else f"{parts[2]}_{parts[-1]}"
 
 
-def with_row_number(df: DataFrame, order: list[str]) -> DataFrame:
-    """Row numbers from 0 over a range-sorted frame: counts per sorted partition, then an offset.
-
-    Only one row per partition meets in a window, never the data.
-    """
-    # Bounds and counts must come from one and the same sort, hence the written copy.
-    from areastats.session import materialise
-
-    parted = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    fixed = materialise(parted.withColumn("_part", F.spark_partition_id()))
-    counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
-    numbered = fixed.withColumn("_in", inside).join(offsets, "_part")
-    return numbered.select((F.col("_start") + F.col("_in")).alias("index"), *df.columns)
-
-
 def export_csv(tables: dict[str, DataFrame], root: str, year: str) -> list[str]:
     """Write every summary and change table as CSV with a row number; returns the folder names.
 
-    One row per area, so a table is one small file; the row number comes from a sort, not from collecting.
+    A table is a folder of part files in the order of the row number.
     """
     written = []
     for name, df in tables.items():
         if name in NOT_EXPORTED:
             continue
         target = export_name(name, year)
-        numbered = with_row_number(df, ["geoid10"]).orderBy("index").coalesce(1)
+        numbered = with_rank(df, [], ["geoid10"], "index").select("index", *df.columns).orderBy("index")
         numbered.write.mode("overwrite").option("header", True).csv(f"{root.rstrip('/')}/{target}.csv")
         written.append(target)
     return written

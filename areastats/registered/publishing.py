@@ -20,7 +20,7 @@ def _customer_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .where(f"o_orderdate >= timestamp'{year}-01-01' and o_orderdate < timestamp'{year + 1}-01-01'")
-        .groupBy(F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("geoid10"))
+        .groupBy(F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("geoid10"))
         .agg(
             F.sum(amount).cast("double").alias("total"),
             F.count(F.lit(1)).cast("double").alias("n"),
@@ -30,7 +30,7 @@ def _customer_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     )
 
 
-_YEAR = """SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS geoid10, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total,
+_YEAR = """SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS geoid10, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total,
   count(*)::DOUBLE AS n FROM orders WHERE year(o_orderdate) = {} GROUP BY 1"""
 
 
@@ -51,7 +51,7 @@ def _legend_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.select(
         F.concat(F.lit("summary_cen_r"), "n_regionkey").alias("table_name"),
-        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("geoid10"),
+        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("geoid10"),
         F.when(F.col("c_custkey") % 7 >= 2, F.col("c_acctbal")).alias("balance"),
         (F.col("c_custkey") % 101).cast("double").alias("grade"),
         F.col("c_mktsegment").alias("segment"),
@@ -81,7 +81,7 @@ _LEGEND = """WITH s AS (SELECT 'summary_cen_r' || n_regionkey AS table_name, c_c
 )
 def legend_breaks_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quintiles after filling gaps in area order; compared at one decimal, away from rounding ties."""
-    out = legend_breaks(_legend_source(spark, sf_dir), prefix=5)
+    out = legend_breaks(_legend_source(spark, sf_dir), prefix=8)
     return out.select("table_name", "column_name", *[F.round(c, 1).alias(c) for c in ("min", "q1", "q2", "q3", "q4", "q5")])
 
 
@@ -147,14 +147,14 @@ def promote_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT CAST(row_number() OVER (ORDER BY geoid10) - 1 AS VARCHAR) AS "index", geoid10, CAST(n AS VARCHAR) AS n FROM
-  (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS geoid10, count(*) AS n FROM orders GROUP BY 1)"""
+  (SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS geoid10, count(*) AS n FROM orders GROUP BY 1)"""
 )
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary exported as CSV with row numbers, read back as text."""
     root = f"{shared_dir(spark).rstrip('/')}/areastats-export-{spark.sparkContext.applicationId}/{sf_dir.strip('/').replace('/', '-')}"
     summary = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("geoid10"))
+        .groupBy(F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("geoid10"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     name = export_csv({"summary_cen_tract_2010": summary}, root, "2018")[0]

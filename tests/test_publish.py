@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from areastats.plans.change import carry_forward, change_table, change_tables, read_year
 from areastats.plans.legend import legend_breaks, legend_values
 from areastats.plans.metadata import SEASONS, category, season
-from areastats.plans.publish import export_csv, export_name, json_documents, promote, target_of, with_row_number
+from areastats.operators.ranking import exact_quantiles, with_rank
+from areastats.plans.publish import export_csv, export_name, json_documents, promote, target_of
 
 
 def test_change(spark):
@@ -71,10 +72,23 @@ def test_names():
     assert target_of("data_dictionary_chng", "2018") == ("chng", "datadictionary")
 
 
-def test_row_numbers_across_partitions(spark):
-    df = spark.range(5000).select(F.format_string("%05d", (F.col("id") * 7919) % 5000).alias("geoid10")).repartition(6)
-    got = {r.geoid10: r["index"] for r in with_row_number(df, ["geoid10"]).collect()}
-    assert got == {f"{i:05d}": i for i in range(5000)}
+def test_ranks_across_partitions(spark):
+    df = spark.range(5000).selectExpr("id % 3 as k", "format_string('%05d', (id * 7919) % 5000) as geoid10").repartition(6)
+    got = {r.geoid10: (r.k, r["rank"]) for r in with_rank(df, ["k"], ["geoid10"]).collect()}
+    want = {}
+    for i in sorted(range(5000), key=lambda i: i * 7919 % 5000):
+        k = i % 3
+        want[f"{i * 7919 % 5000:05d}"] = (k, sum(1 for w in want.values() if w[0] == k))
+    assert got == want
+
+
+def test_quantiles_with_one_value_in_most_rows(spark):
+    df = spark.range(3000).selectExpr("id % 2 as k", "if(id % 3 > 0, 5D, id * 7919 % 1000 / 10D) as v", "id")
+    points = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.k: r.q for r in exact_quantiles(df, ["k"], "v", "id", points).collect()}
+    for k in (0, 1):
+        series = pd.Series([5.0 if i % 3 else i * 7919 % 1000 / 10 for i in range(k, 3000, 2)])
+        assert got[k] == pytest.approx(series.quantile(points).tolist())
 
 
 def test_csv_export(spark, tmp_path):
