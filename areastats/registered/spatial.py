@@ -102,7 +102,8 @@ _LINES = f"""{CUSTOMER_CTE}, {SUPPLIER_CTE},
 
 @query(
     f"""WITH {_LINES}, w AS (SELECT *, sqrt((bx - ax) ** 2 + (yy - ay) ** 2) l FROM seg)
-  SELECT id, round(sum(l * (ax + bx) / 2) / sum(l), 3) AS x, round(sum(l * (ay + yy) / 2) / sum(l), 3) AS y FROM w GROUP BY 1"""
+  SELECT id, round(CASE WHEN sum(l) = 0 THEN min(ax) ELSE sum(l * (ax + bx) / 2) / sum(l) END, 3) AS x,
+  round(CASE WHEN sum(l) = 0 THEN min(ay) ELSE sum(l * (ay + yy) / 2) / sum(l) END, 3) AS y FROM w GROUP BY 1"""
 )
 def line_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = g.with_centroid(_supplier_lines(spark, sf_dir), g.LINE_DIM)
@@ -117,7 +118,7 @@ _CLIP = f"""{AREA_CTE}, {_LINES},
     CASE WHEN yy = ay THEN 1.0::DOUBLE ELSE greatest((y0 - ay) / (yy - ay), (y0 + 100000 - ay) / (yy - ay)) END ty1
     FROM seg JOIN area ON (bx <> ax OR (ax > x0 AND ax < x0 + 100000)) AND (yy <> ay OR (ay > y0 AND ay < y0 + 100000))),
   c AS (SELECT geography, geoid10, sqmi, id, l * (least(1, tx1, ty1) - greatest(0, tx0, ty0)) part FROM t
-    WHERE least(1, tx1, ty1) > greatest(0, tx0, ty0))"""
+    WHERE l > 0 AND least(1, tx1, ty1) > greatest(0, tx0, ty0))"""
 
 
 @query(
