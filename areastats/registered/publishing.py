@@ -74,15 +74,14 @@ _LEGEND = """WITH s AS (SELECT 'summary_cen_r' || n_regionkey AS table_name, c_c
 
 @query(
     _LEGEND
-    + """SELECT table_name, column_name, round(any_value(low), 1) AS min, """
-    + ", ".join(f"round(quantile_cont(v, {q}), 1) AS q{i}" for i, q in enumerate((0.2, 0.4, 0.6, 0.8, 1.0), 1))
+    + """SELECT table_name, column_name, round_even(any_value(low), 2) AS min, """
+    + ", ".join(f"round_even(quantile_cont(v, {q}), 2) AS q{i}" for i, q in enumerate((0.2, 0.4, 0.6, 0.8, 1.0), 1))
     + """ FROM h JOIN m USING (table_name, column_name) GROUP BY 1, 2
   UNION ALL SELECT DISTINCT table_name, 'segment', 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM s"""
 )
 def legend_breaks_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quintiles after filling gaps in area order; compared at one decimal, away from rounding ties."""
-    out = legend_breaks(_legend_source(spark, sf_dir), prefix=8)
-    return out.select("table_name", "column_name", *[F.round(c, 1).alias(c) for c in ("min", "q1", "q2", "q3", "q4", "q5")])
+    """Quintiles after filling gaps in area order, two decimals half-even as published."""
+    return legend_breaks(_legend_source(spark, sf_dir), prefix=8)
 
 
 @query(
