@@ -1,4 +1,4 @@
-"""Arithmetic with the reference's three zero-denominator policies and its rounding rules."""
+"""Arithmetic with three zero-denominator policies (null, zero, guarded) and two rounding rules."""
 
 from __future__ import annotations
 
