@@ -34,7 +34,7 @@ from areastats.operators.families import (
     sidewalk_flags,
     summed_per_key,
 )
-from areastats.operators.spatial import AREA_KEYS, area_tiles, near_pairs, representative_points, within
+from areastats.operators.spatial import AREA_KEYS, area_tiles, near_pairs, representative_points
 from areastats.operators.survey import with_geography
 from areastats.plans.catalogue import (
     COUNTY,
