@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from areastats.registered import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not present")
@@ -30,13 +31,14 @@ def ordered(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    cursor = con.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    cursor = con.execute(SQL[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert ordered([tuple(r) for r in df.collect()], df.columns) == ordered(cursor.fetchall(), columns)
