@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from areastats.llm import mixing, quality_rules, sharding
+from areastats.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash
 from areastats.llm.common import documents, table
 
 QUERIES: dict = {}
@@ -65,3 +66,24 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f &
   f = 0 as kept, n_lines, f::bigint as failed
 from b
 """
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), max_rows=20_000)
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(documents(spark, sf_dir), width=3, radius=2)
+    return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
