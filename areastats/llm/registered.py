@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areastats.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, simhash
+from areastats.llm import (
+    decontamination,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    token_files,
+    warc,
+)
 from areastats.llm.common import documents, table
 
 QUERIES: dict = {}
@@ -87,3 +97,29 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op10_warc"] = """
+with p as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), l as (
+  select payload_digest, max(page_id) as last from p where payload_bytes >= 1000 group by payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+  case when last is null or page_id is not distinct from last then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from last then last end as refers_to
+from p left join l using (payload_digest)
+"""
