@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from areastats.llm import (
     decontamination,
     mixing,
+    ngram_lm,
     pii,
     quality_classifier,
     quality_rules,
@@ -123,3 +124,9 @@ select page_id, payload_bytes, payload_digest,
   case when page_id is distinct from last then last end as refers_to
 from p left join l using (payload_digest)
 """
+
+
+@query
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = ngram_lm.scores(documents(spark, sf_dir))
+    return read.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
