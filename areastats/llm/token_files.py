@@ -30,6 +30,13 @@ ODD = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes are themselves, the others the characters from 256 on in turn."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Pieces(dict):
     """Ids of pieces of text as bytes, encoded once each. A piece is cut where a blank or line feed follows another
     character: there the tokenizer's own pre-splitting cuts too, so the pieces' ids are the text's ids."""
@@ -40,8 +47,14 @@ class Pieces(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.code, self.most = code, most
 
+    def word(self, piece: str) -> bytes:
+        """A blank and letters are one pre-split word, which goes to the tokenizer's model at once."""
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
     def encode(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -51,7 +64,7 @@ class Pieces(dict):
         if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
             ids = self[piece[:-1]] + self[piece[-1]]  # punctuation is a piece of its own behind a letter
         else:
-            ids = self.encode(piece)
+            ids = self.word(piece) if piece[piece[0] == " " :].isalpha() else self.encode(piece)
         self[piece] = ids
         return ids
 
