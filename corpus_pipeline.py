@@ -43,7 +43,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: The classifier's fit and the mix's draws have no SQL form; tests/llm compares each stage with a plain version.
+#: The classifier's fit and the mix's draws have no SQL form.
 ORACLE_SQL = None
 
 
