@@ -9,7 +9,7 @@ import pytest
 import regex
 import xxhash
 
-from areastats.llm import mixing, ngram_lm, pii, quality_rules, sharding, simhash, warc
+from areastats.llm import mixing, ngram_lm, pii, quality_rules, sharding, simhash, token_files, warc
 
 LONG = " ".join(f"word{i} of a long text" for i in range(3_000))
 ROWS = [
@@ -124,3 +124,16 @@ def test_empty_tables(docs):
     assert sharding.histogram_sort(none, shards=3).count() == 0
     assert mixing.mixed_words(none).count() == 0
     assert pii.personal_data(none).count() == 0
+
+
+def test_token_files_equal_the_tokenizer(docs):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, start = Tokenizer.from_file(vocabulary), 0
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.round_trip(docs, vocabulary).collect()}
+    for i, text, _ in ROWS:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        assert got[i] == (start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+        start += len(ids)
