@@ -9,6 +9,7 @@ the span's votes and form, which decides. Spans that satisfy the base definition
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: Forms beyond the base: a written-out address, and a number without its country code.
 SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(] ?(?:dot|DOT) ?[\])] ?)[A-Za-z0-9-]{1,63}){1,4}")
+SPELT_MARK = re.compile(r"[\[(] ?(?:at|AT)")
 LOCAL_PHONE = re.compile(r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9.-])")
 DIGIT = re.compile(r"[0-9]")
 
@@ -81,11 +83,12 @@ def candidates(text: str) -> list[tuple[int, int, int, bool]]:
             digits = sum(c.isdigit() for c in m[0])
             if 9 <= digits <= 15:
                 found[3].append((*m.span(), True))
-    for kind, form, mark in ((0, SPELT, "at"), (3, LOCAL_PHONE, "-."), (0, SPELT, "AT")):
-        if (kind == 0 and (f"({mark}" in text or f"[{mark}" in text or f"( {mark}" in text or f"[ {mark}" in text)) or kind:
-            held = found[kind]
+    for kind, form, mark in ((0, SPELT, SPELT_MARK), (3, LOCAL_PHONE, DIGIT)):
+        if mark.search(text):
+            held, ends = found[kind], [b for _, b, _ in found[kind]]
             for m in form.finditer(text):
-                if not any(a < m.end() and m.start() < b for a, b, _ in held):
+                i = bisect_right(ends, m.start())
+                if i == len(ends) or held[i][0] >= m.end():
                     held.append((*m.span(), False))
     return [(k, a, b, base) for k, own in enumerate(found) for a, b, base in sorted(own)]
 
