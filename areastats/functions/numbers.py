@@ -60,9 +60,10 @@ def recode(value: Column, codes: dict[int, int]) -> Column:
 
 
 def number(text: Column) -> Column:
-    """A survey cell as a number: `.` and blank are missing, and so is anything that does not parse."""
-    cleaned = missing(text)
-    return cleaned.try_cast("double")
+    """A survey cell as a number: `.` and blank are missing, any other text that does not parse raises."""
+    cleaned = missing(F.trim(text))
+    broken = F.raise_error(F.concat(F.lit("not a number: "), cleaned)).cast("double")
+    return F.coalesce(cleaned.try_cast("double"), F.when(cleaned.isNotNull(), broken))
 
 
 def missing(text: Column) -> Column:

@@ -70,8 +70,14 @@ def scale_over_layer(layer: DataFrame, value: Column, name: str) -> DataFrame:
 
 
 def name_match(areas: DataFrame, table: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """Values of a table whose name equals the area's name, ignoring case; the smallest where a name repeats."""
-    picked = table.groupBy(F.lower(name).alias("_name")).agg(*[F.min(c).alias(c) for c in columns])
+    """Values of a table whose name equals the area's name, ignoring case; one whole row where a name repeats.
+
+    That is the row with the smallest `feature_id`, or without such ids the smallest values, nulls last.
+    """
+    values = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    order = ["feature_id", *values] if "feature_id" in table.columns else values
+    keyed = table.withColumn("_name", F.lower(name))
+    picked = distinct_on(keyed, ["_name"], order, columns)
     return areas.join(picked, F.lower(areas["name10"]) == F.col("_name")).drop("_name")
 
 

@@ -105,19 +105,27 @@ def nearest_distance(
     for any spacing without pairing every point with every feature. A round is written to the shared folder, so a lost
     executor does not repeat the earlier ones. Copies at one place are searched once, on either side, so a pile of copies
     does not multiply. The answers are joined back by place, so x and y must not change when they are computed again.
+    Coordinates that are null, NaN or infinite and shapes without a piece are no places: such points get null, such
+    features are not found, and every other search ends.
     """
     by = by or []
     keys = [*by, "x", "y"]
     answer = [c for c in points.columns if c not in ("x", "y")]
     shapes = {g.POINT_DIM: ["x", "y"], g.LINE_DIM: ["rings"], g.POLYGON_DIM: ["rings"]}
-    some = {g.POINT_DIM: "x is not null and y is not null"}
+    located_sql = "abs(x) < double('infinity') and abs(y) < double('infinity')"
+    bounded = " and ".join(f"abs(e.{c}) < double('infinity')" for c in ("x1", "y1", "x2", "y2"))
+
+    def usable(dim: int) -> str:
+        """What the rounds can find: finite coordinates, and at least one piece. NaN counts above infinity."""
+        return located_sql if dim == g.POINT_DIM else f"size({g.pieces(dim)}) > 0 and forall({g.pieces(dim)}, e -> {bounded})"
+
     present = []
     for dim, shape in shapes.items():
         same = [df.select(*by, *shape) for df, d in layers if d == dim]
         if same:
-            have = reduce(DataFrame.unionByName, same).where(some.get(dim, "size(rings) > 0"))
+            have = reduce(DataFrame.unionByName, same).where(usable(dim))
             present.append((have.distinct() if dim == g.POINT_DIM else have, dim))
-    located = points.where("x is not null and y is not null").select(*by, "x", "y").distinct()
+    located = points.where(located_sql).select(*by, "x", "y").distinct()
     if by:
         listed = reduce(DataFrame.unionByName, [df.select(*by).distinct() for df, _ in present]).distinct()
         todo = located.join(listed, by, "left_semi")

@@ -78,8 +78,9 @@ def stitch(parts: list[DataFrame]) -> DataFrame:
 
 
 def geoheader(raw: DataFrame) -> DataFrame:
-    """One geoheader row per geoid; the same file may come with several archives."""
-    return raw.where(F.col("geoid").isNotNull()).dropDuplicates(["geoid"])
+    """One geoheader row per geoid, the smallest; the same file may come with several archives."""
+    rows = raw.where(F.col("geoid").isNotNull()).groupBy("geoid").agg(F.min(F.struct(*raw.columns)).alias("_row"))
+    return rows.select("_row.*")
 
 
 def build_table(records: DataFrame, header: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:

@@ -38,10 +38,12 @@ _fallback: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, or a temporary one where that is unset (tests)."""
+    """The folder every executor can reach: `spark.checkpoint.dir`, or a temporary one of a local session without it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _fallback:
         _fallback.append(tempfile.mkdtemp(prefix="areastats-"))
     return _fallback[0]

@@ -23,16 +23,15 @@ GEOHEADER_WIDTHS = [
 GEOHEADER_FIELDS = [name for name, _ in GEOHEADER_WIDTHS]
 OLD_GEOHEADER_FIELDS = GEOHEADER_FIELDS[:-3]
 
-MAX_SEQUENCE_COLUMNS = 260
 
-
-def sequence_cells(spark: SparkSession, path: str, width: int = MAX_SEQUENCE_COLUMNS) -> DataFrame:
+def sequence_cells(spark: SparkSession, path: str, width: int) -> DataFrame:
     """Headerless sequence files (`e…`/`m…`) as (measure, sequence, cells: array<string>).
 
     `path` may be a glob such as `…/[em]20165??0003000.txt`, so only the files a table needs are read.
+    `width` is the sequence's number of cells, the last position in its layout; a row of another length raises.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    rows = spark.read.schema(schema).option("quote", '"').csv(path)
+    rows = spark.read.schema(schema).option("quote", '"').option("mode", "FAILFAST").option("columnPruning", False).csv(path)
     file = F.col("_metadata.file_name")
     return rows.select(
         F.substring(file, 1, 1).alias("measure"),

@@ -220,3 +220,13 @@ def test_crowded_cell_is_split(spark):
 def test_tiles_cover_each_shape_once_per_cell(shapes):
     tiles = tile(shapes, 2, 3.0)
     assert tiles.count() == tiles.select("geography", "geoid10", "cx", "cy").distinct().count()
+
+
+def test_nearest_ends_without_usable_places(spark):
+    nan = float("nan")
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, nan, 0.0), (3, None, 1.0)], "i int, x double, y double")
+    features = spark.createDataFrame([(5.0, 0.0), (nan, 0.0)], "x double, y double")
+    got = {r.i: r.dist for r in sp.nearest_distance(points, [(features, 0)], 1.0).collect()}
+    assert got == {1: 5.0, 2: None, 3: None}
+    only = spark.createDataFrame([(nan, nan)], "x double, y double")
+    assert {r.dist for r in sp.nearest_distance(points, [(only, 0)], 1.0).collect()} == {None}

@@ -114,3 +114,16 @@ def test_refreshed_names(spark):
     rows = [("demographics", "b01003"), ("demographics", "b17001a"), ("x", "cpgis_parks"), ("x", "c27007_old")]
     got = sv.refreshed_names(spark.createDataFrame(rows, "table_schema string, table_name string"))
     assert {r.table_name for r in got.collect()} == {"b01003", "b17001a", "c27007"}
+
+
+def test_rows_of_another_length_and_broken_cells_raise(spark, tmp_path):
+    wide = ",".join(["ACSSF", "2016e5", "tn", "000", "1", "0000001", *map(str, range(300))])
+    (tmp_path / "e20165tn0001000.txt").write_text(wide + "\n")
+    cells = sf.sequence_cells(spark, str(tmp_path / "e20165tn0001000.txt"), 306).select("cells")
+    assert sv.split_sequence(cells, 6, 306).first().vals == [float(i) for i in range(300)]
+    for width in (305, 307):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            sf.sequence_cells(spark, str(tmp_path / "e20165tn0001000.txt"), width).select("cells").collect()
+    broken = spark.createDataFrame([(["a", "b", "c", "d", "e", "1", "x"],)], "cells array<string>")
+    with pytest.raises(Exception, match="not a number"):
+        sv.split_sequence(broken, 6, 7).collect()
