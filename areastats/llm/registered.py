@@ -14,6 +14,7 @@ from areastats.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     token_files,
     warc,
 )
@@ -130,3 +131,8 @@ from p left join l using (payload_digest)
 def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = ngram_lm.scores(documents(spark, sf_dir))
     return read.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
