@@ -16,6 +16,7 @@ from areastats.llm import (
     simhash,
     spelling,
     token_files,
+    token_pairs,
     warc,
 )
 from areastats.llm.common import documents, table
@@ -136,3 +137,11 @@ def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
+
+
+@query
+def op12_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    one, two = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_pairs.aligned_documents(documents(spark, sf_dir), one, two)
