@@ -6,7 +6,11 @@ minimal perfect hash numbers them, and the tasks' counts become dense vectors un
 sums. A shard's file holds the hash, the keys at their numbers and the counts. Second pass: the documents are aligned
 again, and their links look up their counts; a key is compared before its count is taken.
 
-Bounds: a block of documents holds `BLOCK` bytes of text or one longer text; a shard holds its share of the pairs of two
+Both tokenizers end a token where a blank or line feed follows another character: the one by its pre-splitting, the other
+since none of its pieces goes on there, which is checked in its vocabulary. So a text is cut there, and a task encodes and
+aligns each distinct piece once; a document's tokens, groups and links are those of its pieces.
+
+Bounds: a block of documents holds `BLOCK` bytes of text or one longer text; a task forgets its pieces beyond `KNOWN`; a shard holds its share of the pairs of two
 vocabularies, whatever the corpus; a task keeps `RESIDENT` bytes of shard files and reads the others again. Groups of a
 tree have `FAN` tasks' rows.
 """
@@ -20,6 +24,7 @@ from array import array
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,14 +36,16 @@ from pyspark.sql import functions as F
 from areastats.llm.common import materialise
 from areastats.llm.files import new_folder, own_name, place
 from areastats.llm.perfect_hash import PerfectHash
-from areastats.llm.token_files import byte_letters
+from areastats.llm.token_files import ODD, PIECE, byte_letters
 
 BLOCK = 4 << 20
 RESIDENT = 128 << 20
+KNOWN, KNOWN_BYTES = 500_000, 48 << 20
+TOGETHER = 512
 KEPT_PAIRS = 3_000_000
 SHARDS = 128
 FAN = 32
-DOC_BITS = 20
+TEXT_BITS = 30
 #: Fixed value: the public pre-splitting pattern of the byte-level vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -76,7 +83,7 @@ class ByteLevel:
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
 
     def encode(self, text: str) -> np.ndarray:
-        return self.ids[self.encoder.encode_to_numpy(" " + text, disallowed_special=())]
+        return self.ids[self.encoder.encode_to_numpy(text, disallowed_special=())]
 
 
 class Pieces:
@@ -92,75 +99,176 @@ class Pieces:
             for i, p in enumerate(self.model.id_to_piece(list(range(self.size))))
         ]
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        self.blank = self.model.piece_to_id("▁")
+        normal = [self.model.id_to_piece(i) for i in range(self.size) if not (self.model.is_byte(i) or self.model.is_control(i))]
+        #: No token goes on behind another character with a blank or line feed.
+        self.separable = not any("\n" in p or "▁" in p.lstrip("▁") for p in normal)
 
     def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+        """Of a text that starts with a blank or a line feed, without a further space."""
+        if text == " ":
+            return [self.blank]
+        return self.model.encode(text[1:]) if text[0] == " " else self.model.encode(text)[1:]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending, of values from 0."""
+    ordered = np.sort(values)
+    return ordered[np.flatnonzero(np.diff(ordered, prepend=-1))]
+
+
+def encoded(pieces: list[str], one: ByteLevel, two: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of both and the pieces that they belong to, of all pieces whose bytes both give back.
+
+    Pieces that end in a word follow each other as in a text, so many are encoded in one call; where a call does not give
+    back its bytes, and for the other pieces, it is one call each.
+    """
+    out: list[list[np.ndarray]] = [[], [], [], []]
+
+    def take(which: list[int], text: str) -> bool:
+        whole, a, b = text.encode(), one.encode(text), two.encode(text)
+        # Tokens of `one` are runs of the text's own bytes, so the same number of bytes is the same bytes.
+        if one.lengths[a].sum() != len(whole) or b"".join(map(two.bytes.__getitem__, b)) != whole:
+            return False
+        b = np.array(array("i", b), dtype=np.int64)
+        sizes = [len(whole)] if len(which) == 1 else [len(pieces[i].encode()) for i in which]
+        own = np.array(which, np.int64)
+        for x, ids, lengths in ((0, a, one.lengths), (1, b, two.lengths)):
+            out[x].append(ids)
+            out[x + 2].append(own[np.searchsorted(np.cumsum(sizes), np.cumsum(lengths[ids]))])
+        return True
+
+    plain = [i for i, p in enumerate(pieces) if p[-1] not in " \n" and not ODD.search(p)] if two.separable else []
+    joined = [plain[x : x + TOGETHER] for x in range(0, len(plain), TOGETHER)]
+    alone = sorted(set(range(len(pieces))).difference(plain))
+    for which in joined:
+        if not take(which, "".join(map(pieces.__getitem__, which))):
+            alone += which
+    for i in alone:
+        take([i], pieces[i])
+    a, b, text_a, text_b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in out)
+    order_a, order_b = np.argsort(text_a, kind="stable"), np.argsort(text_b, kind="stable")
+    return a[order_a], b[order_b], text_a[order_a], text_b[order_b]
 
 
 class Aligned:
-    """The tokens of a block of texts, a text after the other, as positions in their joined bytes."""
-
-    def __init__(self, texts: list[str | None], one: ByteLevel, two: Pieces):
-        self.n, self.size = len(texts), max(one.size, two.size)
-        ids_a, ids_b, self.docs = [], [], []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            whole, a, b = b" " + text.encode(), one.encode(text), two.encode(text)
-            # Tokens of `one` are runs of the text's own bytes, so the same number of bytes is the same bytes.
-            if one.lengths[a].sum() == len(whole) and b"".join(map(two.bytes.__getitem__, b)) == whole:
-                self.docs.append(i)
-                ids_a.append(a)
-                ids_b.append(np.array(array("i", b), dtype=np.int64))
-        none = np.zeros(0, np.int64)
-        self.a, self.b = np.concatenate([none, *ids_a]), np.concatenate([none, *ids_b])
-        self.doc_a, self.doc_b = (np.repeat(np.array(self.docs, np.int64), np.array([len(x) for x in ids], np.int64)) for ids in (ids_a, ids_b))
-        self.end_a, end_b = np.cumsum(one.lengths[self.a]), np.cumsum(two.lengths[self.b])
-        size = int(self.end_a[-1]) if len(self.a) else 0
+    """The tokens of some pieces of text, one after the other, as positions in their joined bytes."""
+
+    def __init__(self, pieces: list[str], one: ByteLevel, two: Pieces):
+        self.n, self.size = len(pieces), max(one.size, two.size)
+        self.a, self.b, self.text_a, self.text_b = encoded(pieces, one, two)
+        self.good = distinct(self.text_a)
+        end_a, end_b = np.cumsum(one.lengths[self.a]), np.cumsum(two.lengths[self.b])
+        size = int(end_a[-1]) if len(self.a) else 0
         ends = np.zeros(size + 1, np.int32)
         ends[end_b] = 1
-        self.last_a = ends[self.end_a] == 1
+        self.last_a = ends[end_a] == 1
         passed = np.cumsum(ends, dtype=np.int32)  # tokens of b that end at or before a position
         self.last_b = np.zeros(len(self.b), bool)
-        self.last_b[passed[self.end_a[self.last_a]] - 1] = True
-        first = passed[np.concatenate([[0], self.end_a[:-1]])] if len(self.a) else none
-        many = passed[self.end_a - 1] + 1 - first
+        self.last_b[passed[end_a[self.last_a]] - 1] = True
+        first = passed[np.concatenate([[0], end_a[:-1]])] if len(self.a) else end_a
+        many = passed[end_a - 1] + 1 - first
         at = np.cumsum(many) - many
         self.link_a = np.repeat(np.arange(len(self.a)), many)
         self.link_b = np.arange(len(self.link_a)) - np.repeat(at - first, many)
 
     def pairs(self, size_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (pair, text) in order of pairs, with the number of links of each."""
+        """Distinct (piece of text, pair of ids), in order, with the number of links of each."""
         key = self.a[self.link_a] * size_b + self.b[self.link_b]
-        both, links = np.unique(key << DOC_BITS | self.doc_a[self.link_a], return_counts=True)
-        return both >> DOC_BITS, both & ((1 << DOC_BITS) - 1), links
-
-    def group_digests(self) -> list[str]:
-        """Of every text the sha256 of `a1,a2|b1;a3|b2,b3` in hexadecimal; '' for those without tokens."""
-        out = [""] * self.n
-        if not self.docs:
+        order = np.lexsort([key, self.text_a[self.link_a]])
+        key, text = key[order], self.text_a[self.link_a][order]
+        first = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+        return text[first], key[first], np.diff(np.append(first, len(key)))
+
+    def group_texts(self) -> list[bytes]:
+        """`a1,a2|b1;a3|b2,b3` of every piece of text; empty for those without tokens."""
+        out = [b""] * self.n
+        if not len(self.good):
             return out
         groups_a, groups_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
         size_a, size_b = np.bincount(groups_a), np.bincount(groups_b)
         before_a, before_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
         place_a = np.arange(len(self.a)) + before_b[groups_a]
         place_b = np.arange(len(self.b)) + (before_a + size_a)[groups_b]
-        last_of_doc = np.append(np.diff(self.doc_b) != 0, True)
-        token, doc = np.empty(len(self.a) + len(self.b), np.int64), np.empty(len(self.a) + len(self.b), np.int64)
-        token[place_a], doc[place_a] = 4 * self.a + self.last_a, self.doc_a
-        token[place_b], doc[place_b] = 4 * self.b + np.where(last_of_doc, 3, 2 * self.last_b), self.doc_b
+        last_of_text = np.append(np.diff(self.text_b) != 0, True)
+        token, text = np.empty(len(self.a) + len(self.b), np.int64), np.empty(len(self.a) + len(self.b), np.int64)
+        token[place_a], text[place_a] = 4 * self.a + self.last_a, self.text_a
+        token[place_b], text[place_b] = 4 * self.b + np.where(last_of_text, 3, 2 * self.last_b), self.text_b
         cells, sizes = digits(self.size)
-        ends = np.cumsum(sizes[token])
+        ends = np.cumsum(sizes[token])[np.searchsorted(text, self.good, side="right") - 1].tolist()
         wide = cells[token].view(np.uint8)
-        joined = wide[wide != 0].tobytes()
-        edges = np.searchsorted(doc, np.array(self.docs), side="right")
-        start = 0
-        for i, edge in zip(self.docs, edges, strict=True):
-            out[i] = hashlib.sha256(memoryview(joined)[start : ends[edge - 1]]).hexdigest()
-            start = ends[edge - 1]
+        joined, start = wide[wide != 0].tobytes(), 0
+        for i, end in zip(self.good.tolist(), ends, strict=True):
+            out[i] = joined[start:end]
+            start = end
         return out
 
 
+class Known:
+    """The pieces a task has met, each encoded and aligned once."""
+
+    def __init__(self, one: str, two: str):
+        self.one, self.two = ByteLevel(one), Pieces(two)
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.place: dict[str, int] = {}
+        self.texts: list[bytes] = []
+        self.bytes = 0
+        #: By piece: whether it has tokens, tokens of both, groups, links; where its pairs start.
+        self.facts, self.starts = np.zeros((5, 0), np.int64), np.zeros(1, np.int64)
+        self.keys, self.links = none, none
+
+    def cut(self, text: str) -> list[str]:
+        whole = " " + text
+        return [whole] if not self.two.separable or ODD.search(text) else PIECE.findall(whole)
+
+    def met(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, piece) of every piece of some texts; new pieces get to be known."""
+        if len(self.place) > KNOWN or self.bytes > KNOWN_BYTES:
+            self.forget()
+        own = [self.cut(t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(own))
+        new = list(set(flat).difference(self.place))
+        if new:
+            self.add(new)
+        text = np.repeat(np.arange(len(texts)), np.array([len(x) for x in own], np.int64))
+        return text, np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+
+    def add(self, new: list[str]) -> None:
+        for p in new:
+            self.place[p] = len(self.place)
+            self.bytes += len(p)
+        made, n = Aligned(new, self.one, self.two), len(new)
+        self.texts += made.group_texts()
+        self.bytes += sum(map(len, self.texts[-n:]))
+        text, key, links = made.pairs(self.two.size)
+        facts = [
+            np.isin(np.arange(n), made.good), np.bincount(made.text_a, minlength=n), np.bincount(made.text_b, minlength=n),
+            np.bincount(made.text_a[made.last_a], minlength=n), np.bincount(made.text_a[made.link_a], minlength=n),
+        ]
+        self.facts = np.concatenate([self.facts, np.array(facts, np.int64)], axis=1)
+        self.starts = np.append(self.starts, len(self.keys) + np.cumsum(np.bincount(text, minlength=n)))
+        self.keys, self.links = np.append(self.keys, key), np.append(self.links, links)
+
+    def good(self, n: int, text: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Which of n texts have tokens: those all of whose pieces have."""
+        return (np.bincount(text, minlength=n) > 0) & (np.bincount(text[self.facts[0][piece] == 0], minlength=n) == 0)
+
+    def documents_of_pairs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of some texts, ascending, with the number of texts that hold each."""
+        text, piece = self.met(texts)
+        kept = self.good(len(texts), text, piece)[text]
+        both = distinct(text[kept] << TEXT_BITS | piece[kept])
+        text, piece = both >> TEXT_BITS, both & ((1 << TEXT_BITS) - 1)
+        many = self.starts[piece + 1] - self.starts[piece]
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - self.starts[piece], many)
+        held = distinct(self.keys[at] << TEXT_BITS | np.repeat(text, many)) >> TEXT_BITS
+        first = np.flatnonzero(np.diff(held, prepend=-1))
+        return held[first], np.diff(np.append(first, len(held)))
+
+
 @lru_cache(1)
 def digits(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Decimal numbers below `size`, each with every mark behind it, padded with zero bytes, and their sizes."""
@@ -214,21 +322,20 @@ def pair_counts(docs: DataFrame, one: str, two: str, shards: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=["shard", "chunk", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, keys, counts, held = ByteLevel(one), Pieces(two), [], [], 0
+        known, keys, counts, held = Known(one, two), [], [], 0
         for _, texts in blocks(batches):
-            pair, _, _ = Aligned(texts, a, b).pairs(b.size)
-            first = np.flatnonzero(np.diff(pair, prepend=-1))
-            keys.append(pair[first])
-            counts.append(np.diff(np.append(first, len(pair))))
-            held += len(first)
+            key, count = known.documents_of_pairs(texts)
+            keys.append(key)
+            counts.append(count)
+            held += len(key)
             if held > KEPT_PAIRS:
                 keys, counts = ([x] for x in summed(keys, counts))
                 held = len(keys[0])
                 if 2 * held > KEPT_PAIRS:
-                    yield rows(keys[0], counts[0], b.size)
+                    yield rows(keys[0], counts[0], known.two.size)
                     keys, counts, held = [], [], 0
         if held:
-            yield rows(*summed(keys, counts), b.size)
+            yield rows(*summed(keys, counts), known.two.size)
 
     two_columns = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return two_columns.mapInArrow(run, "shard int, chunk long, keys binary, counts binary")
@@ -334,6 +441,18 @@ class Tables:
         self.held.move_to_end(number)
         return self.held[number][0]
 
+    def of_pieces(self, known: Known, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of some pieces, repeats included, its links to a highest pair and the sum of its links' counts."""
+        own, which = np.unique(piece, return_inverse=True)
+        many = known.starts[own + 1] - known.starts[own]
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - known.starts[own], many)
+        key, back = np.unique(known.keys[at], return_inverse=True)
+        count, best = self.look_up(key)
+        place, links, sums = np.repeat(np.arange(len(own)), many), known.links[at], np.zeros((2, len(own)), np.int64)
+        np.add.at(sums[0], place, links * best[back])
+        np.add.at(sums[1], place, links * count[back])
+        return sums[0][which], sums[1][which]
+
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(documents that hold the pair, whether that is its first id's highest) of distinct keys."""
         count, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
@@ -362,21 +481,22 @@ def aligned_documents(docs: DataFrame, one: str, two: str, shards: int = SHARDS)
         files = write_tables(distinct, dense_counts(counted, distinct, last + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = ByteLevel(one), Pieces(two)
-        tables = Tables(files, b.size, shards)
+        known = Known(one, two)
+        tables = Tables(files, known.two.size, shards)
         for ids, texts in blocks(batches):
-            own, n = Aligned(texts, a, b), len(texts)
-            pair, doc, links = own.pairs(b.size)
-            key, which = np.unique(pair, return_inverse=True)
-            count, best = tables.look_up(key)
-            sums = np.zeros((2, n), np.int64)
-            np.add.at(sums[0], doc, np.where(best[which], links, 0))
-            np.add.at(sums[1], doc, links * count[which])
-            columns = [
-                np.bincount(own.doc_a, minlength=n), np.bincount(own.doc_b, minlength=n), np.bincount(own.doc_a[own.last_a], minlength=n),
-                np.bincount(doc, weights=links, minlength=n).astype(np.int64), *sums,
-            ]
-            arrays = [pa.array(ids, pa.int64()), *[pa.array(c.astype(np.int64)) for c in columns], pa.array(own.group_digests(), pa.string())]
+            n, (text, piece) = len(texts), known.met(texts)
+            good = known.good(n, text, piece)
+            text, piece = text[good[text]], piece[good[text]]
+            sums = tables.of_pieces(known, piece)
+            columns = [np.bincount(text, weights=x[piece], minlength=n).astype(np.int64) for x in known.facts[1:]]
+            for x in sums:  # whole numbers of any size, so no weights of doubles
+                columns.append(np.zeros(n, np.int64))
+                np.add.at(columns[-1], text, x)
+            digests, edges = [""] * n, np.searchsorted(text, np.arange(n + 1))
+            for i in np.flatnonzero(good).tolist():
+                whole = b";".join(map(known.texts.__getitem__, piece[edges[i] : edges[i + 1]].tolist()))
+                digests[i] = hashlib.sha256(whole).hexdigest()
+            arrays = [pa.array(ids, pa.int64()), *[pa.array(c) for c in columns], pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in RESULT.split(", ")])
 
     two_columns = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))

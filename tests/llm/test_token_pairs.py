@@ -105,6 +105,7 @@ def test_equals_plain_python(spark, library, shards, monkeypatch):
         monkeypatch.setattr(token_pairs, "KEPT_PAIRS", 50)
         monkeypatch.setattr(token_pairs, "RESIDENT", 1)
         monkeypatch.setattr(token_pairs, "FAN", 2)
+        monkeypatch.setattr(token_pairs, "KNOWN", 100)
     rows = [(i if i != 3 else None, t) for i, t in enumerate(texts())]
     want = [(i, *x) for (i, _), x in zip(rows, plain([t for _, t in rows], *library), strict=True)]
     assert sum(x[1] == 0 for x in want) >= 3
@@ -121,7 +122,22 @@ def test_byte_level_ids_are_the_librarys(library):
     alphabet = "aeiou tsrn  \n\t'’0123456789.,;-é ñçß日本  \U0001f642퟿̀"
     for _ in range(3_000):
         text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 60)))
-        assert one.encode(text).tolist() == library[0].encode(" " + text, add_special_tokens=False).ids
+        assert one.encode(" " + text).tolist() == library[0].encode(" " + text, add_special_tokens=False).ids
+
+
+def test_pieces_are_encoded_as_in_the_whole_text(library):
+    """Cut where a blank or line feed follows another character, both tokenizers give the ids of the whole text."""
+    rnd, known = random.Random(9), token_pairs.Known(ONE, TWO)
+    assert known.two.separable
+    alphabet = "aeiou tsrn  \n\n\t'’0123456789.,;-é ñçß日本  \U0001f642퟿̀ﬁ①▁<0x41>\x00\u00ad"
+    for _ in range(5_000):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 60)))
+        pieces = known.cut(text)
+        assert known.two.encode(" " + text) == library[1].encode(text)
+        assert "".join(pieces) == " " + text
+        assert [int(i) for p in pieces for i in known.one.encode(p)] == library[0].encode(" " + text, add_special_tokens=False).ids
+        if "▁" not in text:  # such a text is not given back and has no tokens
+            assert [i for p in pieces for i in known.two.encode(p)] == library[1].encode(text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1_000, 50_000])
