@@ -10,6 +10,7 @@ from areastats.llm import (
     mixing,
     ngram_lm,
     pii,
+    ppm,
     quality_classifier,
     quality_rules,
     sharding,
@@ -145,3 +146,8 @@ def op12_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     one, two = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return token_pairs.aligned_documents(documents(spark, sf_dir), one, two)
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.predictions(documents(spark, sf_dir))
