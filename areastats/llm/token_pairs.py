@@ -120,7 +120,7 @@ def distinct(values: np.ndarray) -> np.ndarray:
 def encoded(pieces: list[str], one: ByteLevel, two: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids of both and the pieces that they belong to, of all pieces whose bytes both give back.
 
-    Pieces that end in a word follow each other as in a text, so many are encoded in one call; where a call does not give
+    Pieces that are a word behind blanks and line feeds follow each other as in a text, so many go into one call; where a call does not give
     back its bytes, and for the other pieces, it is one call each.
     """
     out: list[list[np.ndarray]] = [[], [], [], []]
@@ -138,7 +138,7 @@ def encoded(pieces: list[str], one: ByteLevel, two: Pieces) -> tuple[np.ndarray,
             out[x + 2].append(own[np.searchsorted(np.cumsum(sizes), np.cumsum(lengths[ids]))])
         return True
 
-    plain = [i for i, p in enumerate(pieces) if p[-1] not in " \n" and not ODD.search(p)] if two.separable else []
+    plain = [i for i, p in enumerate(pieces) if p.split() == [p.lstrip(" \n")]] if two.separable else []
     joined = [plain[x : x + TOGETHER] for x in range(0, len(plain), TOGETHER)]
     alone = sorted(set(range(len(pieces))).difference(plain))
     for which in joined:
