@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from areastats.functions.numbers import missing
 from areastats.operators import survey as sv
 from areastats.registered.base import query, table
-from areastats.session import shared_dir
-from areastats.sources.survey_files import GEOHEADER_FIELDS, geoheader_csv, sequence_cells
+from areastats.session import new_path, shared_dir
+from areastats.sources.survey_files import GEOHEADER_FIELDS, GEOHEADER_WIDTHS, geoheader_csv, geoheader_fixed, sequence_cells, year_cells
 
 
 def _records(spark: SparkSession, sf_dir: str, sequence: str) -> DataFrame:
@@ -172,3 +172,51 @@ def geoheader_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.write.mode("overwrite").option("encoding", "ISO-8859-1").option("emptyValue", "").csv(root)
     header = sv.geoheader(geoheader_csv(spark, root))
     return header.select("geoid", missing(F.col("name")).alias("name"))
+
+
+_SHEET = [
+    (1, "T00001", "0001", "7-9"), (2, "T00002", "0001", "8-9"), (3, "T00002", "0002", "7-7"), (4, "C27010", "0002", "7-8"),
+    (5, "T00003", "0002", "7-8"),
+]
+_YEAR = f"""{_KEYS}, {_LEVEL} AS sumlevel, CASE WHEN o_orderkey % 3 = 0 THEN 'TN' ELSE 'MS' END AS stusab,
+  'Area ' || o_orderkey || CASE WHEN o_orderkey % 7 = 0 THEN ' D''Arc' ELSE '' END AS name"""
+
+
+@query(
+    f"""WITH v AS (SELECT {_YEAR}, {_V1}, {_V2} FROM orders)
+  SELECT 't00001' AS table_id, fileid, geoid, sumlevel, stusab, name, t001 AS v1, t002 AS v2, t003 AS v3 FROM v
+  UNION ALL SELECT 't00002', fileid, geoid, sumlevel, stusab, name, t002, t003, t004 FROM v
+  UNION ALL SELECT 't00003', fileid, geoid, sumlevel, stusab, name, t004, t005, NULL FROM v"""
+)
+def survey_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year's folder of sequence files to all its tables, written in one job and read back table by table."""
+    raw, built = new_path(spark, "year-files"), new_path(spark, "year-tables")
+    for sequence, width in (("0001", 9), ("0002", 8)):
+        cells = _records(spark, sf_dir, sequence).select(*[F.col("cells")[i].alias(f"c{i}") for i in range(width)])
+        cells.write.option("emptyValue", "").csv(f"{raw}/{sequence}")
+    sheet = spark.createDataFrame(_SHEET, "pos long, table_id string, sequence string, positions string")
+    records = sv.year_records(year_cells(spark, f"{raw}/*"), sv.layout_index(sheet), sv.geoheader(_header(spark, sf_dir)))
+    sv.write_year(records, built)
+    out = None
+    for table_id, n in (("t00001", 3), ("t00002", 3), ("t00003", 2)):
+        one = sv.year_table(spark, built, table_id, [(f"v{i}", f"Line {i}") for i in range(1, n + 1)])
+        one = one.select(F.lit(table_id).alias("table_id"), *one.columns)
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
+@query(
+    """SELECT '14000US' || c_custkey AS geoid, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'Café ' || c_name END AS name,
+  lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS logrecno, CASE WHEN c_custkey % 2 = 0 THEN 'x' END AS btbg FROM customer"""
+)
+def geoheader_fixed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geoheader rows of the longer fixed-width layout, written to a file and read back by position."""
+    root = new_path(spark, "geoheader-fixed")
+    cells = {
+        "geoid": "concat('14000US', c_custkey)", "name": "if(c_custkey % 4 = 0, '.', concat('Café ', c_name))",
+        "logrecno": "lpad(cast(c_custkey as string), 7, '0')", "btbg": "if(c_custkey % 2 = 0, 'x', '')", "blank7": "'.'",
+    }
+    parts = [f"rpad({cells.get(field, repr('.'))}, {width}, ' ')" for field, width in GEOHEADER_WIDTHS]
+    lines = table(spark, sf_dir, "customer").selectExpr(f"concat({', '.join(parts)}) as value")
+    lines.write.option("encoding", "ISO-8859-1").option("quote", "").option("ignoreTrailingWhiteSpace", False).csv(root)
+    return geoheader_fixed(spark, root, old=False).select("geoid", "name", "logrecno", "btbg")

@@ -49,6 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback[0]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/areastats-{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a frame once and read it back, so that lost executors do not force a recomputation of its lineage."""
     spark = df.sparkSession

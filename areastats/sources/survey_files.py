@@ -40,6 +40,21 @@ def sequence_cells(spark: SparkSession, path: str, width: int) -> DataFrame:
     )
 
 
+def year_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all sequence files of a year in one scan, as (cells: array<string>).
+
+    Rows are as wide as their sequence, so lines are cut at commas; only a line with a quote is cut by a pattern. The fifth
+    cell names the sequence; whether a row is whole is for its layout to say.
+    """
+    lines = spark.read.text(path).where("value <> ''")
+    cell = "(?:^|,)(?:\"(?:[^\"]|\"\")*\"|[^,\"]*)"
+    quoted = F.transform(
+        F.regexp_extract_all("value", F.lit(cell), F.lit(0)),
+        lambda c: F.replace(F.regexp_replace(c, '^,?"?|"$', ""), F.lit('""'), F.lit('"')),
+    )
+    return lines.select(F.when(F.contains("value", F.lit('"')), quoted).otherwise(F.split("value", ",")).alias("cells"))
+
+
 # Bytes 0x80 to 0x9f are letters and quotes in windows-1252 but control characters in ISO-8859-1, the closest charset
 # Spark reads; all other bytes agree.
 _SPECIAL = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
@@ -52,16 +67,18 @@ def _windows_text(value: Column) -> Column:
 
 
 def geoheader_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Geoheader as CSV; a row with another number of fields raises."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in GEOHEADER_FIELDS])
-    raw = spark.read.schema(schema).option("encoding", "ISO-8859-1").option("quote", '"').csv(path)
+    read = spark.read.schema(schema).option("encoding", "ISO-8859-1").option("quote", '"')
+    raw = read.option("mode", "FAILFAST").option("columnPruning", False).csv(path)
     return raw.select(*[missing(_windows_text(F.col(n))).alias(n) for n in GEOHEADER_FIELDS])
 
 
-def geoheader_fixed(spark: SparkSession, path: str) -> DataFrame:
-    """Fixed-width geoheader of the years before 2011, which lack the last three fields."""
+def geoheader_fixed(spark: SparkSession, path: str, old: bool = True) -> DataFrame:
+    """Fixed-width geoheader; that of the years before 2011 (`old`) lacks the last three fields and has short names."""
     lines = spark.read.schema("value string").option("header", False).option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").csv(path)
     columns, start = [], 1
-    for name, width in GEOHEADER_WIDTHS[: len(OLD_GEOHEADER_FIELDS)]:
+    for name, width in GEOHEADER_WIDTHS[: len(OLD_GEOHEADER_FIELDS if old else GEOHEADER_FIELDS)]:
         columns.append(missing(F.rtrim(F.substring(_windows_text(F.col("value")), start, width))).alias(name))
         start += width
     return lines.select(*columns)

@@ -127,3 +127,61 @@ def test_rows_of_another_length_and_broken_cells_raise(spark, tmp_path):
     broken = spark.createDataFrame([(["a", "b", "c", "d", "e", "1", "x"],)], "cells array<string>")
     with pytest.raises(Exception, match="not a number"):
         sv.split_sequence(broken, 6, 7).collect()
+
+
+LAYOUT = "pos long, table_id string, sequence string, start int, end int"
+NAMES = "geoid string, name string, stusab string, sumlevel string, logrecno string"
+
+
+def year(spark, folder, lines, layout):
+    folder.mkdir()
+    for name, rows in lines.items():
+        (folder / name).write_text("".join(f"{r}\n" for r in rows))
+    header = spark.createDataFrame([("14000US1", "A", "TN", "140", "1"), ("14000US2", "B", "TN", "140", "2")], NAMES)
+    cells = sf.year_cells(spark, f"{folder}/[em]*.txt")
+    return sv.year_records(cells, spark.createDataFrame(layout, LAYOUT), header)
+
+
+def test_whole_year_in_one_scan(spark, tmp_path):
+    """Every table of every sequence; quoted cells, two measures, a table over two sequences, records without a part."""
+    lines = {
+        "e20165tn0001000.txt": ['F,2016e5,tn,000,0001,1,10,"11",.', "F,2016e5,tn,000,0001,2,20,,22", "F,2016e5,tn,000,0001,9,1,1,1"],
+        "m20165tn0001000.txt": ["F,2016m5,tn,000,1,1,110,111,112"],
+        "e20165tn0002000.txt": ["F,2016e5,tn,000,0002,1,30", ""],
+        "g20165tn.txt": ["not a sequence"],
+    }
+    layout = [(1, "b1", "0001", 6, 8), (2, "b2", "0001", 8, 9), (3, "b2", "0002", 6, 7), (4, "c27010", "0002", 6, 7), (5, "b3", "0001", 7, 8)]
+    records = year(spark, tmp_path / "in", lines, layout)
+    assert "FileScan text" not in records._jdf.queryExecution().executedPlan().toString()  # the cells were read once
+    sv.write_year(records, str(tmp_path / "out"))
+
+    def got(table_id, n):
+        rows = sv.year_table(spark, str(tmp_path / "out"), table_id, [(f"v{i}", "") for i in range(n)]).collect()
+        return {(r.geoid, r.fileid): list(r)[5:] for r in rows}
+
+    assert got("b1", 2) == {("1", "2016e5"): [10, 11], ("2", "2016e5"): [20, None], ("1", "2016m5"): [110, 111]}
+    assert got("b3", 1) == {("1", "2016e5"): [11], ("2", "2016e5"): [None], ("1", "2016m5"): [111]}
+    assert got("b2", 2) == {("1", "2016e5"): [None, 30]}
+    assert got("c27010", 1) == {}
+    with pytest.raises(Exception, match="3 fields"):
+        got("b1", 3)
+
+
+def test_broken_years_raise(spark, tmp_path):
+    layout = [(1, "b1", "0001", 6, 7), (2, "b1", "0002", 6, 7)]
+    good = {"e1.txt": ["F,2016e5,tn,000,0001,1,10"], "e2.txt": ["F,2016e5,tn,000,0002,1,30"]}
+    assert year(spark, tmp_path / "good", good, layout).first().vals == [10, 30]
+    for name, row, match in (("short", "F,2016e5,tn,000,0002,1", "survey row of 6"), ("long", "F,2016e5,tn,000,0002,1,2,3", "survey row of 8")):
+        with pytest.raises(Exception, match=match):
+            year(spark, tmp_path / name, good | {"e2.txt": [row]}, layout).collect()
+    with pytest.raises(Exception, match="record twice"):
+        year(spark, tmp_path / "twice", good | {"e3.txt": good["e2.txt"]}, layout).collect()
+
+
+def test_short_rows_raise(spark, tmp_path):
+    cells = spark.createDataFrame([(["a", "b", "c", "d", "e", "1", "2"],)], "cells array<string>")
+    with pytest.raises(Exception, match="survey row of 7"):
+        sv.split_sequence(cells, 6, 8).collect()
+    (tmp_path / "g.csv").write_text("a,b,c\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sf.geoheader_csv(spark, str(tmp_path)).collect()
