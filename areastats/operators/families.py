@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from areastats.functions import geometry as g
 from areastats.functions.numbers import ratio, real_change, scaled
+from areastats.operators.counting import counts_within
 from areastats.operators.spatial import (
     AREA_KEYS,
     assign,
@@ -106,18 +107,13 @@ def flag_share(
 def pairs_within(units: DataFrame, others: DataFrame, other_dim: int, cell: float, reach: float) -> DataFrame:
     """Point units (`feature_id`, `x`, `y`) with `pairs`, the number of other features within reach, at least 1.
 
-    The least of 1 is what counting the rows of a left join gives a unit without partner. Copies at one place are paired
-    once and counted with their number.
+    The least of 1 is what counting the rows of a left join gives a unit without partner. Nothing is paired to be counted,
+    and units at one place are counted once.
     """
-    if other_dim == g.POINT_DIM:
-        right = others.groupBy("x", "y").agg(F.min("feature_id").alias("other_id"), F.count(F.lit(1)).alias("weight"))
-    else:
-        right = others.select(F.col("feature_id").alias("other_id"), F.lit(1).alias("weight"), "rings")
-    spots = units.groupBy("x", "y").agg(F.min("feature_id").alias("spot"))
-    found = near_pairs(spots, g.POINT_DIM, right, other_dim, cell, reach)
-    counts = found.groupBy("spot").agg(F.sum("weight").alias("pairs"))
-    here = spots.join(counts, "spot").select("x", "y", "pairs")
-    return units.join(here, ["x", "y"], "left").withColumn("pairs", F.coalesce("pairs", F.lit(1)))
+    shape = ["x", "y"] if other_dim == g.POINT_DIM else ["rings"]
+    right = others.select(F.lit(1).cast("long").alias("weight"), *shape)
+    counts = counts_within(units, right, other_dim, cell, reach)
+    return units.join(counts, ["x", "y"], "left").withColumn("pairs", F.coalesce("n", F.lit(1))).drop("n")
 
 
 def pair_count(

@@ -56,8 +56,9 @@ def near_pairs(
 ) -> DataFrame:
     """Distinct (left keys, right keys) at most `reach` apart; `reach=0` means that they intersect.
 
-    Columns other than the shape are the keys of a side; the two sides must not share names. The smaller side belongs
-    on the right, since its tiles are widened by `reach`.
+    Columns other than the shape are the keys of a side, unique there; the two sides must not share names. The smaller side
+    belongs on the right, since its tiles are widened by `reach`. A point lies in one cell and meets one tile of a feature
+    there, so only pairs of longer left features can come twice and are made distinct by a shuffle.
     """
     lt = prefixed(tile(left, left_dim, cell), "l_")
     rt = prefixed(tile(right, right_dim, cell, reach), "r_")
@@ -75,7 +76,8 @@ def near_pairs(
     if left_dim == g.POLYGON_DIM:
         tests.append(starts_in("r_near", "l_ray", "l_flip"))
     hits = lt.join(rt, ["cx", "cy"]).where(" or ".join(tests))
-    return hits.select(*_keys(lt, "l_"), *_keys(rt, "r_")).distinct()
+    pairs = hits.select(*_keys(lt, "l_"), *_keys(rt, "r_"))
+    return pairs if left_dim == g.POINT_DIM else pairs.distinct()
 
 
 def _reaches_cell(pieces: str, cell: float, reach: float) -> str:

@@ -25,6 +25,7 @@ from areastats.registered.base import (
     nation_areas,
     query,
     region_areas,
+    square_rings,
     supplier_diamonds,
     supplier_points,
     table,
@@ -172,6 +173,36 @@ def within_distance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(F.col("feature_id").alias("c_custkey"), F.col("pairs").cast("long").alias("pairs"))
 
 
+_DENSE = """o AS (SELECT ((o_orderkey * 7919) % 5003) / 2.0::DOUBLE x, ((o_orderkey * 104729) % 4999) / 2.0::DOUBLE y FROM orders)"""
+
+
+@query(
+    f"""WITH {_DENSE}, s AS (SELECT s_suppkey, ((s_suppkey * 7907) % 5003) / 2.0::DOUBLE x, ((s_suppkey * 6857) % 4999) / 2.0::DOUBLE y FROM supplier)
+  SELECT s_suppkey, greatest(count(o.x), 1) AS pairs FROM s LEFT JOIN o ON (o.x - s.x) ** 2 + (o.y - s.y) ** 2 <= 1440000 GROUP BY 1"""
+)
+def pairs_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders on half a square mile around the suppliers: most pairs are within reach, few are ever compared."""
+    orders = table(spark, sf_dir, "orders").selectExpr("(o_orderkey * 7919) % 5003 / 2D as x", "(o_orderkey * 104729) % 4999 / 2D as y")
+    units = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "(s_suppkey * 7907) % 5003 / 2D as x", "(s_suppkey * 6857) % 4999 / 2D as y")
+    return fam.pairs_within(units, orders, g.POINT_DIM, 1200.0, 1200.0).select("s_suppkey", F.col("pairs").cast("long").alias("pairs"))
+
+
+@query(
+    f"""WITH {_DENSE}, p AS (SELECT x, y, count(*) n FROM o GROUP BY 1, 2),
+  q AS (SELECT ((c_custkey * 7919) % 4001)::DOUBLE a, ((c_custkey * 104729) % 3989)::DOUBLE b, 10 + c_custkey % 300 AS w FROM customer)
+  SELECT x, y, greatest(count(a), 1) AS pairs, min(n) AS copies FROM p LEFT JOIN q
+    ON greatest(a - x, x - a - w, 0) ** 2 + greatest(b - y, y - b - w, 0) ** 2 <= 640000 GROUP BY 1, 2"""
+)
+def pairs_dense_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares around crowded places, as parks around housing."""
+    orders = table(spark, sf_dir, "orders").selectExpr("(o_orderkey * 7919) % 5003 / 2D as x", "(o_orderkey * 104729) % 4999 / 2D as y")
+    squares = table(spark, sf_dir, "customer").selectExpr(
+        f"{square_rings('(c_custkey * 7919) % 4001', '(c_custkey * 104729) % 3989', '10 + c_custkey % 300')} as rings"
+    )
+    counted = fam.pairs_within(orders, squares, g.POLYGON_DIM, 200.0, 800.0)
+    return counted.groupBy("x", "y").agg(F.max("pairs").cast("long").alias("pairs"), F.count(F.lit(1)).alias("copies"))
+
+
 @query(
     f"""WITH {AREA_CTE}, {CUSTOMER_CTE}, {SUPPLIER_CTE},
   p AS (SELECT c_custkey, c.x, c.y, greatest(count(s_suppkey), 1) n FROM cust c LEFT JOIN supp s
