@@ -169,7 +169,8 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
 
     def repeated(plan: DataFrame, nth) -> DataFrame:
         n = F.col("whole") + F.when(nth <= F.col("more"), 1).otherwise(0)
-        met = own.join(plan, same).withColumn("n", n.cast("int")).where("n > 0")
+        # Both sides grow with the documents, so they meet by a shuffle whatever their size.
+        met = own.join(plan.hint("merge"), same).withColumn("n", n.cast("int")).where("n > 0")
         return met.select("row", F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("one")).select("row.*")
 
     once = repeated(plan.where("rows = 1"), F.lit(1))

@@ -95,7 +95,8 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable over links) of every row of `docs`.
+    """doc_id, fp, component_id (the smallest doc_id reachable over links) and root (one fingerprint for each component; an
+    id that repeats may be the smallest of several) of every row of `docs`.
 
     Null, empty and wordless texts have fingerprint 0 and link like any other. Equal fingerprints are one node, so
     copies cost nothing beyond their own row. Null ids never are the smallest, unless a component has no other. Repeated
@@ -107,22 +108,45 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     rooted = nodes.join(tree, nodes["fp"] == tree["node"], "left")
     rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(lowest, "root").select(F.col("fp").alias("l_fp"), "component_id")
-    return prints.join(labels, prints["fp"] == labels["l_fp"]).select("doc_id", "fp", "component_id")
+    labels = rooted.join(lowest, "root").select(F.col("fp").alias("l_fp"), "component_id", "root")
+    return prints.join(labels, prints["fp"] == labels["l_fp"]).select("doc_id", "fp", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of `docs` whose id is their component's smallest, one row each, with the columns of `docs`.
+    """One row of each component, with the columns of `docs`: that of the smallest id, then fingerprint, then row.
 
-    Rows that repeat such an id are reduced to one; a component of null ids only keeps one row of those.
+    A component of null ids only keeps one of those. Texts are not moved: the ids that lose all their rows are taken out of
+    `docs`. Only where an id keeps one of several rows are these rows met again and compared by fingerprint. Null and empty
+    texts are one component; empty input gives no rows.
     """
-    near = materialise(near_duplicates(docs, width, radius))
-    kept = near.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = materialise(kept.groupBy(F.col("doc_id").alias("k_id"), "fp").agg(F.count(F.lit(1)).alias("rows")))
-    counts = kept.groupBy("k_id").agg(F.sum("rows").alias("rows"))
+    near = near_duplicates(docs, width, radius)
+    keys = materialise(near.groupBy("doc_id", "fp").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("rows")))
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("one")
+    first = keys.groupBy("root").agg(smallest).select(F.col("one.doc_id").alias("f_id"), F.col("one.fp").alias("f_fp"))
+    kept = (F.col("doc_id").eqNullSafe(F.col("f_id"))) & (F.col("fp") == F.col("f_fp"))
+    marked = keys.join(first, kept, "left").select("doc_id", "fp", "rows", F.col("f_fp").isNotNull().alias("kept"))
+    marked = materialise(marked)
+    ids = marked.groupBy(F.col("doc_id").alias("k_id")).agg(F.max("kept").alias("any"), F.sum("rows").alias("rows"))
+    ids = materialise(ids.where("not any or rows > 1"))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("k_id"))
-    once = docs.join(counts.where("rows = 1").select("k_id"), same, "left_semi")
-    if counts.where("rows > 1").isEmpty():
+    once = docs.join(ids.select("k_id"), same, "left_anti")
+    several = ids.where("any").select("k_id")
+    if several.isEmpty():
         return once
-    again = docs.join(counts.where("rows > 1").select("k_id"), same, "left_semi")
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+    again = docs.join(several, same, "left_semi")
+    row = F.struct(*[again[c] for c in docs.columns]).alias("row")
+    row = again.select(again["doc_id"].cast("long").alias("doc_id"), print_of(width)(again["text"].cast("string")).alias("fp"), row)
+    chosen = marked.where("kept").select(F.col("doc_id").alias("c_id"), F.col("fp").alias("c_fp"))
+    met = row.join(chosen, row["doc_id"].eqNullSafe(F.col("c_id")) & (row["fp"] == F.col("c_fp")), "left_semi")
+    return once.unionByName(met.groupBy("doc_id", "fp").agg(F.min("row").alias("row")).select("row.*"))
+
+
+def print_of(width: int):
+    """The fingerprint of a column of texts."""
+
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        found = [fingerprint(t.as_py() or b"", width) for t in texts.cast(pa.binary())]
+        return pa.array(np.array(found, dtype=np.uint64).view(np.int64))
+
+    return run
