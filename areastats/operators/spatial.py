@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from areastats.functions import geometry as g
 from areastats.functions.geometry import num
+from areastats.operators.nearest import LOCATED, all_pieces, nearest_pieces, usable
 from areastats.operators.tiles import cell_sql, prefixed, tile, with_cell
 from areastats.session import materialise
 
@@ -92,73 +93,33 @@ def _reaches_cell(pieces: str, cell: float, reach: float) -> str:
     )
 
 
-def nearest_distance(
-    points: DataFrame,
-    layers: list[tuple[DataFrame, int]],
-    cell: float,
-    by: list[str] | None = None,
-    growth: float = 4.0,
-) -> DataFrame:
+def nearest_distance(points: DataFrame, layers: list[tuple[DataFrame, int]], cell: float, by: list[str] | None = None) -> DataFrame:
     """Each point with `dist` to its nearest feature: 0 inside a polygon, null where there is no feature.
 
-    `by` names columns that points and features share (such as the layer), so many layers are searched in one go.
-    Each round looks at the 3 x 3 cells around a point: everything within one cell width lies there, so a distance up to
-    the cell width is final. Points without one go on with wider cells until none is left, which keeps the result exact
-    for any spacing without pairing every point with every feature. A round is written to the shared folder, so a lost
-    executor does not repeat the earlier ones. Copies at one place are searched once, on either side, so a pile of copies
-    does not multiply. The answers are joined back by place, so x and y must not change when they are computed again.
-    Coordinates that are null, NaN or infinite and shapes without a piece are no places: such points get null, such
-    features are not found, and every other search ends.
+    `by` names columns that points and features share (such as the layer), so many layers are searched in one go. `cell` is
+    the width of the tiles that tell which points lie in a polygon; the search itself fits its cells to the features. Copies
+    at one place are searched once, on either side. The points are written once, so the places that are searched and those
+    that get the answers are the same doubles. Coordinates that are null, NaN or infinite and shapes without a piece are no
+    places: such points get null, such features are not found, and every other search ends.
     """
     by = by or []
     keys = [*by, "x", "y"]
     answer = [c for c in points.columns if c not in ("x", "y")]
-    shapes = {g.POINT_DIM: ["x", "y"], g.LINE_DIM: ["rings"], g.POLYGON_DIM: ["rings"]}
-    located_sql = "abs(x) < double('infinity') and abs(y) < double('infinity')"
-    bounded = " and ".join(f"abs(e.{c}) < double('infinity')" for c in ("x1", "y1", "x2", "y2"))
-
-    def usable(dim: int) -> str:
-        """What the rounds can find: finite coordinates, and at least one piece. NaN counts above infinity."""
-        return located_sql if dim == g.POINT_DIM else f"size({g.pieces(dim)}) > 0 and forall({g.pieces(dim)}, e -> {bounded})"
-
-    present = []
-    for dim, shape in shapes.items():
-        same = [df.select(*by, *shape) for df, d in layers if d == dim]
-        if same:
-            have = reduce(DataFrame.unionByName, same).where(usable(dim))
-            present.append((have.distinct() if dim == g.POINT_DIM else have, dim))
-    located = points.where(located_sql).select(*by, "x", "y").distinct()
-    if by:
-        listed = reduce(DataFrame.unionByName, [df.select(*by).distinct() for df, _ in present]).distinct()
-        todo = located.join(listed, by, "left_semi")
-    elif all(df.isEmpty() for df, _ in present):
+    points = materialise(points)
+    places = points.where(LOCATED).select(*keys).distinct()
+    pieces = materialise(all_pieces(layers, by))
+    near = nearest_pieces(places, pieces, by)
+    if near is None:
         return points.select(*answer, F.lit(None).cast("double").alias("dist"))
-    else:
-        todo = located
-
-    covered = f"cx = _ox and cy = _oy and (inside or {g.locate('ray', 'flip', 'x', 'y')} <> 0)"
-    gap = f"array_min(transform(near, e -> {g.point_piece_sq('x', 'y', 'e')}))"
-    found, width = [], float(cell)
-    while True:
-        tiles = reduce(DataFrame.unionByName, [tile(df, dim, width, keep=by) for df, dim in present])
-        around = with_cell(todo, width).withColumnsRenamed({"cx": "_ox", "cy": "_oy"})
-        for axis in "xy":
-            cells = F.expr(f"sequence(_o{axis} - 1, _o{axis} + 1)")
-            around = around.withColumn(f"c{axis}", F.explode(cells))
-        best = (
-            around.join(tiles, [*by, "cx", "cy"])
-            .select(*keys, F.expr(f"if({covered}, 0D, {gap})").alias("_sq"))
-            .groupBy(*keys)
-            .agg(F.min("_sq").alias("_sq"))
-        )
-        step = materialise(todo.join(best, keys, "left"))
-        final = f"coalesce(_sq <= {num(width * width)}, false)"
-        found.append(step.where(final).select(*keys, F.sqrt("_sq").alias("dist")))
-        todo = step.where(f"not {final}").drop("_sq")
-        if todo.isEmpty():
-            break
-        width *= growth
-    return points.join(reduce(DataFrame.unionByName, found), keys, "left").select(*answer, "dist")
+    parts = [near.select(*keys, F.sqrt("sq").alias("dist"))]
+    for df, dim in layers:
+        if dim == g.POLYGON_DIM:
+            tiles = tile(df.where(usable(dim)).select(*by, "rings"), dim, cell, keep=by).drop("near")
+            inside = with_cell(places, cell).join(tiles, [*by, "cx", "cy"])
+            inside = inside.where(f"inside or {g.locate('ray', 'flip', 'x', 'y')} <> 0")
+            parts.append(inside.select(*keys, F.lit(0.0).alias("dist")))
+    found = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.min("dist").alias("dist"))
+    return points.join(found, keys, "left").select(*answer, "dist")
 
 
 def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: float = 0.5) -> DataFrame:

@@ -253,6 +253,23 @@ def nearest_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dist.select("c_custkey", F.round("dist", 3).alias("dist"))
 
 
+@query(
+    """WITH p AS (SELECT o_orderkey k, ((o_orderkey * 7919) % 1009) / 8.0::DOUBLE + (o_orderkey % 2) * 4e6 AS x, ((o_orderkey * 104729) % 997) / 8.0::DOUBLE AS y FROM orders),
+  f AS (SELECT ((c_custkey * 7919) % 1009) / 8.0::DOUBLE + (c_custkey % 2) * 4e6 AS a, ((c_custkey * 6857) % 997) / 8.0::DOUBLE + (c_custkey % 2) * 3e5 AS b FROM customer)
+  SELECT k AS o_orderkey, round(min(sqrt((x - a) ** 2 + (y - b) ** 2)), 3) AS dist FROM p, f GROUP BY 1"""
+)
+def nearest_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in two crowds: one among its features, the other far from its own."""
+    points = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "(o_orderkey * 7919) % 1009 / 8D + (o_orderkey % 2) * 4000000D as x", "(o_orderkey * 104729) % 997 / 8D as y"
+    )
+    features = table(spark, sf_dir, "customer").selectExpr(
+        "(c_custkey * 7919) % 1009 / 8D + (c_custkey % 2) * 4000000D as x", "(c_custkey * 6857) % 997 / 8D + (c_custkey % 2) * 300000D as y"
+    )
+    dist = sp.nearest_distance(points, [(features, g.POINT_DIM)], 1000.0)
+    return dist.select("o_orderkey", F.round("dist", 3).alias("dist"))
+
+
 @query(
     f"""WITH {AREA_CTE}, {CUSTOMER_CTE}, big AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000),
   p AS (SELECT c_custkey, x, y, CASE WHEN o_custkey IS NULL THEN 0 ELSE 1 END f FROM cust LEFT JOIN big ON o_custkey = c_custkey),
