@@ -20,7 +20,7 @@ from areastats.operators.tiles import tile, with_cell
 from areastats.session import materialise
 
 #: Pairs of cells with no more pairs of points than this are compared point by point.
-FEW = 64
+FEW = 4096
 #: Cells are halved so often at most; what is left then lies on the rim within rounding and is compared.
 DEEPEST = 24
 

@@ -20,7 +20,7 @@ from areastats.functions.geometry import num
 from areastats.session import materialise
 
 #: Pairs of cells with no more pairs of rows than this are compared.
-FEW = 4096
+FEW = 8192
 #: A width is a quarter of the one before; after so many, what is left lies together within rounding.
 SPLIT, DEEPEST = 4, 16
 
@@ -47,10 +47,8 @@ def all_pieces(layers: list[tuple[DataFrame, int]], by: list[str]) -> DataFrame:
 
 def _extent(places: DataFrame, pieces: DataFrame) -> tuple[float, float, float] | None:
     """Origin and width of a square that holds everything; None if a side is empty."""
-    spans = [
-        places.selectExpr("min(x) x0", "max(x) x1", "min(y) y0", "max(y) y1").first(),
-        pieces.selectExpr("min(least(x1, x2)) x0", "max(greatest(x1, x2)) x1", "min(least(y1, y2)) y0", "max(greatest(y1, y2)) y1").first(),
-    ]
+    of_pieces = pieces.selectExpr("min(least(x1, x2)) x0", "max(greatest(x1, x2)) x1", "min(least(y1, y2)) y0", "max(greatest(y1, y2)) y1")
+    spans = places.selectExpr("min(x) x0", "max(x) x1", "min(y) y0", "max(y) y1").union(of_pieces).collect()
     if any(s["x0"] is None for s in spans):
         return None
     x0, y0 = (min(s[c] for s in spans) for c in ("x0", "y0"))

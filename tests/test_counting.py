@@ -69,8 +69,10 @@ def test_shapes_equal_plain_python(spark, cell, reach):
     assert got == want
 
 
-def test_crowds_are_not_paired(spark):
+def test_crowds_are_not_paired(spark, monkeypatch):
     """Two crowds of 4,000 within reach of each other are counted by cells; across the rim far fewer than n * m meet."""
+    monkeypatch.setattr(counting, "FEW", 64)
+
     def crowd(x, size):
         return spark.range(4_000).selectExpr(f"{x} + pmod(xxhash64(id, 1), 1000003) / 1000003D * {size} as x", f"pmod(xxhash64(id, 2), 1000003) / 1000003D * {size} as y", "1L as weight")
 

@@ -18,7 +18,7 @@ def gap(p, e):
     return math.hypot(x - x1 - t * dx, y - y1 - t * dy)
 
 
-@pytest.mark.parametrize("few", [0, 10, 4096])
+@pytest.mark.parametrize("few", [0, 10, 8192])
 def test_mixed_layers_equal_plain_python(spark, few, monkeypatch):
     """Points, lines and polygons in two layers, long pieces, crowds, copies, and a far cluster."""
     monkeypatch.setattr(nearest, "FEW", few)
