@@ -8,10 +8,13 @@ offset is one select; no table of 64-bit offsets exists. Files are numbered by a
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,9 @@ FOOT = "<QQQqBQQ8s"
 #: White space other than blanks and line feeds: such a text is encoded in one piece.
 ODD = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Punctuation that the pre-splitting parts from letters before it whatever follows; an apostrophe may belong to both.
+MARKS = string.punctuation.replace("'", "")
+TWO_WHITE = ("  ", " \n", "\n ", "\n\n")
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,41 +43,88 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class OddSpace(Exception):
+    """A piece holds white space other than blanks and line feeds."""
+
+
 class Pieces(dict):
-    """Ids of pieces of text as bytes, encoded once each. A piece is cut where a blank or line feed follows another
-    character: there the tokenizer's own pre-splitting cuts too, so the pieces' ids are the text's ids."""
+    """Ids, as bytes, of the words that follow a blank, encoded once each in a worker.
+
+    A text is cut where a blank or line feed follows another character: there the tokenizer's own pre-splitting cuts too,
+    so the pieces' ids are the text's ids. Two kinds of text go to the library's encode whole: those with other white
+    space, and those that hold the string of an added token, which the library takes for that token.
+    """
 
     def __init__(self, path: str, code: str, most: int = 1_000_000):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.code, self.most = code, most
+        self.code, self.most, self.other = code, most, {}
 
-    def word(self, piece: str) -> bytes:
-        """A blank and letters are one pre-split word, which goes to the tokenizer's model at once."""
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
+    def model_ids(self, mapped: str) -> bytes:
         return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
+        """A piece as PIECE cuts it, encoded. A blank and letters are one pre-split word, the model's own input."""
+        if piece[0] == " " and piece[1:].isalpha():
+            return self.model_ids(piece.encode().decode("latin-1").translate(self.letters))
+        if ODD.search(piece):
+            raise OddSpace
+        return self.encode(piece)
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
-            ids = self[piece[:-1]] + self[piece[-1]]  # punctuation is a piece of its own behind a letter
+        if word[:1] == "\n":  # stands for itself, without a blank before
+            ids = self.cut("\n") + self.cut(word[1:])
+        elif (bare := word.rstrip(MARKS)) != word and bare.isalpha():
+            ids = self[bare] + self.cached(word[len(bare) :])  # punctuation is a piece of its own behind a letter
         else:
-            ids = self.word(piece) if piece[piece[0] == " " :].isalpha() else self.encode(piece)
-        self[piece] = ids
+            ids = self.piece(" " + word)
+        self[word] = ids
+        return ids
+
+    def cached(self, piece: str) -> bytes:
+        """A piece that follows no blank, or is white space alone."""
+        ids = self.other.get(piece)
+        if ids is None:
+            if len(self.other) >= self.most:
+                self.other.clear()
+            ids = self.other[piece] = self.piece(piece)
         return ids
 
+    def cut(self, text: str) -> bytes:
+        """The pieces of any text without odd white space, one after the other."""
+        ids = []
+        for piece in PIECE.findall(text):
+            if piece[0] == " " and len(piece) > 1 and piece[1] not in " \n":
+                ids.append(self[piece[1:]])
+                continue
+            ids.append(self.cached(piece))
+        return b"".join(ids)
+
     def ids(self, text: str) -> bytes:
-        if ODD.search(text):
+        if any(t in text for t in self.added):
             return self.encode(text)
-        return b"".join(map(self.__getitem__, PIECE.findall(text)))
+        try:
+            if any(two in text for two in TWO_WHITE):
+                return self.cut(text)
+            first, *words = text.replace("\n", " \n").split(" ")  # each blank or line feed starts a piece
+            return self.cut(first) + b"".join(map(self.__getitem__, words))
+        except OddSpace:
+            return self.encode(text)
+
+
+@lru_cache(1)
+def worker_pieces(path: str, code: str) -> Pieces:
+    """The worker's own pieces, kept from task to task."""
+    return Pieces(path, code)
 
 
 def tokenised(docs: DataFrame, vocabulary: str, bounds: list[int], width: int) -> DataFrame:
@@ -79,7 +132,7 @@ def tokenised(docs: DataFrame, vocabulary: str, bounds: list[int], width: int) -
     code = "H" if width == 2 else "I"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, edges = Pieces(vocabulary, code), np.array(bounds, dtype=np.int64)
+        pieces, edges = worker_pieces(vocabulary, code), np.array(bounds, dtype=np.int64)
         for batch in batches:
             part = np.searchsorted(edges, batch.column(0).fill_null(-(2**63)).to_numpy(zero_copy_only=False), side="right")
             for at in range(0, batch.num_rows, 512):
@@ -165,32 +218,58 @@ def read_tokens(files: DataFrame) -> DataFrame:
     return files.select("file", "base").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+class TokenFile:
+    """One token file opened for reading. Only its footer and its two Elias-Fano lists are loaded."""
+
+    def __init__(self, f):
+        size, foot = f.size(), struct.calcsize(FOOT)
+        self.f = f
+        self.n, self.nulls, n_tokens, self.least, self.width, a, b, magic = struct.unpack(FOOT, f.read_at(foot, size - foot))
+        if magic != MAGIC or n_tokens * self.width + a + b + foot != size:
+            raise ValueError("no whole token file")
+        self.bounds, _ = EliasFano.from_buffer(f.read_at(a, n_tokens * self.width))
+        self.doc_ids, _ = EliasFano.from_buffer(f.read_at(b, n_tokens * self.width + a))
+
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.nulls else self.least + self.doc_ids.select(i - self.nulls)
+
+    def start(self, i: int) -> int:
+        """Ids before document i: one select."""
+        return self.bounds.select(i)
+
+    def ids(self, start: int, stop: int) -> np.ndarray:
+        """The ids from `start` to `stop` as unsigned 32-bit numbers."""
+        data = self.f.read_at((stop - start) * self.width, start * self.width)
+        return np.frombuffer(data, f"<u{self.width}").astype("<u4")
+
+    def documents(self, doc_id: int) -> list[np.ndarray]:
+        """The ids of each row of a document, found without reading any other row."""
+        found = []
+        i = self.nulls + self.doc_ids.successor(doc_id - self.least)
+        while i < self.n and self.doc_id(i) == doc_id:
+            found.append(self.ids(self.start(i), self.start(i + 1)))
+            i += 1
+        return found
+
+
 def read_file(file: str, base: int, docs_at_once: int = 2_048) -> Iterator[pa.RecordBatch]:
     fs, path = place(file)
     with fs.open_input_file(path) as f:
-        size, foot = f.size(), struct.calcsize(FOOT)
-        n, nulls, n_tokens, least, width, a, b, magic = struct.unpack(FOOT, f.read_at(foot, size - foot))
-        if magic != MAGIC or n_tokens * width + a + b + foot != size:
-            raise ValueError(f"{file} is no whole token file")
-        bounds, _ = EliasFano.from_buffer(f.read_at(a, n_tokens * width))
-        ids, _ = EliasFano.from_buffer(f.read_at(b, n_tokens * width + a))
-        doc_ids = [None] * nulls + [int(x) + least for x in ids.all()]
-        starts = bounds.all().astype(np.int64)
-        for at in range(0, n, docs_at_once):
-            stop = min(n, at + docs_at_once)
-            edges = starts[at : stop + 1].tolist()
-            first = edges[0]
-            data = np.frombuffer(f.read_at((edges[-1] - first) * width, first * width), f"<u{width}").astype("<u4")
-            crc = [zlib.crc32(data[x - first : y - first].tobytes()) for x, y in zip(edges, edges[1:], strict=False)]
-            rows = [doc_ids[at:stop], [base + x for x in edges[:-1]], np.diff(edges).tolist(), crc]
+        tokens = TokenFile(f)
+        for at in range(0, tokens.n, docs_at_once):
+            here = range(at, min(tokens.n, at + docs_at_once))
+            edges = [tokens.start(i) for i in (*here, here.stop)]
+            data = tokens.ids(edges[0], edges[-1])
+            crc = [zlib.crc32(data[x - edges[0] : y - edges[0]].tobytes()) for x, y in pairwise(edges)]
+            rows = [[tokens.doc_id(i) for i in here], [base + x for x in edges[:-1]], [y - x for x, y in pairwise(edges)], crc]
             yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def round_trip(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
     """Write `docs` as token files and read them back.
 
-    Null and empty texts are the end id alone; null ids come first; repeated rows are kept, ordered by their ids; no rows
-    give no files and no rows. Other columns are not looked at. The manifest, one row per file, comes to the driver to
+    Null and empty texts are the end id alone; long texts are encoded whole; null ids come first; repeated rows and ties of
+    an id are kept, ordered by their token ids; no rows give no files and no rows. Other columns are not looked at. The manifest, one row per file, comes to the driver to
     number the files' bases.
     """
     spark = docs.sparkSession
