@@ -1,23 +1,30 @@
-"""Ranks and exact quantiles over any number of rows."""
+"""Ranks, neighbouring values and exact quantiles over any number of rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from areastats.session import materialise
 
 
+def ranges(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """The rows written in range partitions of group and order, with the partition's number in `_part`.
+
+    What follows must see one and the same partitioning, hence the written copy. A group of any size spreads over many
+    ranges, which follow each other in order.
+    """
+    return materialise(df.repartitionByRange(*groups, *order).withColumn("_part", F.spark_partition_id()))
+
+
 def with_rank(df: DataFrame, groups: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """Position from 0 within each group. `order` must tell all rows of a group apart.
 
-    The rows are range-partitioned by group and order, ranked within their partition, and shifted by the counts of the
-    partitions before. So a group of any size spreads over many tasks; only the counts of a group meet in one.
+    The rows are ranked within their range and shifted by the counts of the ranges before; only the counts of a group
+    meet in one task.
     """
-    parted = df.repartitionByRange(*groups, *order)
-    # Ranks and counts must see one and the same partitioning, hence the written copy.
-    fixed = materialise(parted.withColumn("_part", F.spark_partition_id()))
+    fixed = ranges(df, groups, order)
     counts = fixed.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("_part", *groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -26,6 +33,49 @@ def with_rank(df: DataFrame, groups: list[str], order: list[str], name: str = "r
     return joined.select(*df.columns, (F.col("_start") + F.col("_in")).alias(name))
 
 
+def with_neighbours(fixed: DataFrame, groups: list[str], order: str, value: str) -> DataFrame:
+    """Position from 1 within each group (`pos`) and the nearest rows with a value before and after it (`prev`, `next`,
+    each pos and v; null if there is none), for rows as `ranges` lays them out.
+
+    Within a range, a window over its rows finds the neighbours; across ranges, one row for each range and group carries
+    its count and its first and last value. So no task sees more of a group than one range, or these marks.
+    """
+    inner = W.partitionBy("_part", *groups).orderBy(order)
+    rows = fixed.withColumn("_in", F.row_number().over(inner))
+    mark = F.when(F.col(value).isNotNull(), F.struct(F.col("_in").alias("pos"), F.col(value).alias("v")))
+    rows = rows.withColumn("_mark", mark).withColumns(
+        {
+            "_prev": F.last("_mark", True).over(inner.rowsBetween(W.unboundedPreceding, -1)),
+            "_next": F.first("_mark", True).over(inner.rowsBetween(1, W.unboundedFollowing)),
+        }
+    )
+
+    def shifted(mark: str) -> Column:
+        moved = F.struct((F.col("_start") + F.col(f"{mark}.pos")).alias("pos"), F.col(f"{mark}.v").alias("v"))
+        return F.when(F.col(mark).isNotNull(), moved)
+
+    outer = W.partitionBy(*groups).orderBy("_part")
+    earlier, later = outer.rowsBetween(W.unboundedPreceding, -1), outer.rowsBetween(1, W.unboundedFollowing)
+    # Marks compare by position first, so the least and the greatest are the first and the last.
+    marks = rows.groupBy("_part", *groups).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mark").alias("_first"), F.max("_mark").alias("_last")
+    )
+    marks = marks.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    marks = marks.withColumns({"_first": shifted("_first"), "_last": shifted("_last")}).select(
+        "_part",
+        *groups,
+        "_start",
+        F.last("_last", True).over(earlier).alias("_far_prev"),
+        F.first("_first", True).over(later).alias("_far_next"),
+    )
+    return rows.join(marks, ["_part", *groups]).select(
+        *[c for c in fixed.columns if c != "_part"],
+        (F.col("_start") + F.col("_in")).alias("pos"),
+        F.coalesce(shifted("_prev"), F.col("_far_prev")).alias("prev"),
+        F.coalesce(shifted("_next"), F.col("_far_next")).alias("next"),
+    )
+
+
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, tie: str, points: list[float]) -> DataFrame:
     """Quantiles with linear interpolation as an array per group, in the order of `points`.
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areastats.operators.ranking import exact_quantiles
+from areastats.operators.ranking import exact_quantiles, ranges, with_neighbours
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8, 1.0]
 NO_LEGEND = ("geoid10", "sqmiland", "name10", "id", "geography", "table_name")
@@ -20,85 +19,34 @@ def _long(summary: DataFrame, columns: list[str]) -> DataFrame:
     return wide.unpivot(["table_name", "geoid10"], columns, "column_name", "v")
 
 
-def _filled(values: DataFrame, prefix: int) -> DataFrame:
-    """Fill nulls between two values linearly by row position and trailing nulls with the last value.
-
-    Works in two levels: within the rows that share a geoid prefix, then over one row per prefix, so no task holds a
-    whole column.
-    """
-    group = ["table_name", "column_name"]
-    inner = W.partitionBy(*group, "chunk").orderBy("geoid10")
-    before = inner.rowsBetween(W.unboundedPreceding, -1)
-    after = inner.rowsBetween(1, W.unboundedFollowing)
-    rows = values.withColumn("chunk", F.substring("geoid10", 1, prefix)).withColumn("pos", F.row_number().over(inner))
-    mark = F.when(F.col("v").isNotNull(), F.struct(F.col("pos").alias("pos"), F.col("v").alias("v")))
-    rows = rows.withColumn("mark", mark)
-    rows = rows.withColumns(
-        {"prev": F.last("mark", True).over(before), "next": F.first("mark", True).over(after)}
-    )
-
-    chunks = rows.groupBy(*group, "chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by("mark", F.when(F.col("mark").isNotNull(), F.col("pos"))).alias("first"),
-        F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("pos"))).alias("last"),
-    )
-    outer = W.partitionBy(*group).orderBy("chunk")
-    earlier, later = outer.rowsBetween(W.unboundedPreceding, -1), outer.rowsBetween(1, W.unboundedFollowing)
-    chunks = chunks.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-
-    def at(mark: str):
-        placed = F.struct((F.col("start") + F.col(f"{mark}.pos")).alias("pos"), F.col(f"{mark}.v").alias("v"))
-        return F.when(F.col(mark).isNotNull(), placed)
-
-    chunks = chunks.withColumns({"first": at("first"), "last": at("last")})
-    chunks = chunks.select(
-        *group,
-        "chunk",
-        "start",
-        F.last("last", True).over(earlier).alias("chunk_prev"),
-        F.first("first", True).over(later).alias("chunk_next"),
-    )
-    joined = rows.join(chunks, [*group, "chunk"])
-
-    def pick(near: str, far: str):
-        placed = F.struct((F.col("start") + F.col(f"{near}.pos")).alias("pos"), F.col(f"{near}.v").alias("v"))
-        return F.when(F.col(near).isNotNull(), placed).otherwise(F.col(far))
-
-    joined = joined.select(
-        *group,
-        "geoid10",
-        "v",
-        (F.col("start") + F.col("pos")).alias("pos"),
-        pick("prev", "chunk_prev").alias("a"),
-        pick("next", "chunk_next").alias("b"),
-    )
-    between = F.col("a.v") + (F.col("b.v") - F.col("a.v")) * F.try_divide(
-        F.col("pos") - F.col("a.pos"), F.col("b.pos") - F.col("a.pos")
-    )
-    value = F.coalesce("v", F.when(F.col("b").isNotNull(), between).otherwise(F.col("a.v")))
-    return joined.select(*group, "geoid10", value.alias("v"))
+def _filled(placed: DataFrame) -> DataFrame:
+    """Fill nulls between two values linearly by row position and trailing nulls with the last value."""
+    step = F.try_divide(F.col("pos") - F.col("prev.pos"), F.col("next.pos") - F.col("prev.pos"))
+    between = F.col("prev.v") + (F.col("next.v") - F.col("prev.v")) * step
+    value = F.coalesce("v", F.when(F.col("next").isNotNull(), between).otherwise(F.col("prev.v")))
+    return placed.select("table_name", "column_name", "geoid10", value.alias("v"))
 
 
-def legend_breaks(summary: DataFrame, prefix: int = 3) -> DataFrame:
+def legend_breaks(summary: DataFrame) -> DataFrame:
     """Breaks for rows `(table_name, geoid10, columns…)` of one or several summary tables with the same columns.
 
     A null first row (in geoid order) is replaced by the median, inner gaps are filled linearly, trailing gaps keep the
-    last value; the minimum is that of the given values. Text columns and columns without any value give zeros. `prefix`
-    is the number of leading geoid characters that cut a column into chunks for gap filling.
+    last value; the minimum is that of the given values. Text columns and columns without any value give zeros. The
+    values are written once, in ranges of geoids, and a column of any size is filled range by range.
     """
     columns = [f for f in summary.schema.fields if f.name not in NO_LEGEND]
     numbers = [f.name for f in columns if isinstance(f.dataType, T.NumericType)]
     others = [f.name for f in columns if f.name not in numbers]
     group = ["table_name", "column_name"]
-    values = _long(summary, numbers)
-    stats = values.groupBy(*group).agg(
-        F.min("geoid10").alias("first_id"),
-        F.min("v").alias("low"),
-    )
-    medians = exact_quantiles(values, group, "v", "geoid10", [0.5]).select(*group, F.col("q")[0].alias("median"))
-    with_first = values.join(stats, group).join(medians, group, "left")
-    lead = F.when((F.col("geoid10") == F.col("first_id")) & F.col("v").isNull(), F.col("median")).otherwise(F.col("v"))
-    filled = _filled(with_first.select(*group, "geoid10", lead.alias("v")), prefix)
+    values = ranges(_long(summary, numbers), group, ["geoid10"])
+    first = F.struct(F.min("geoid10").alias("id"), F.min_by("v", "geoid10").alias("v"))
+    stats = values.groupBy(*group).agg(first.alias("first"), F.min("v").alias("low"))
+    # Medians are needed only of the columns whose first row is null.
+    headless = stats.where("first.v is null and low is not null").select(*group, F.col("first.id").alias("first_id"))
+    medians = exact_quantiles(values.join(headless, group, "left_semi"), group, "v", "geoid10", [0.5])
+    heads = headless.join(medians, group).select(*group, F.col("first_id").alias("geoid10"), F.col("q")[0].alias("median"))
+    led = values.join(heads, [*group, "geoid10"], "left").withColumn("v", F.coalesce("v", "median")).drop("median")
+    filled = _filled(with_neighbours(led, group, "geoid10", "v"))
     breaks = exact_quantiles(filled, group, "v", "geoid10", QUINTILES)
     joined = stats.select(*group, "low").join(breaks, group, "left")
     rounded = [F.coalesce(F.bround(F.col("q")[i], 2), F.lit(0.0)).alias(f"q{i + 1}") for i in range(5)]

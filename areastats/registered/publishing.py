@@ -81,7 +81,7 @@ _LEGEND = """WITH s AS (SELECT 'summary_cen_r' || n_regionkey AS table_name, c_c
 )
 def legend_breaks_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quintiles after filling gaps in area order, two decimals half-even as published."""
-    return legend_breaks(_legend_source(spark, sf_dir), prefix=8)
+    return legend_breaks(_legend_source(spark, sf_dir))
 
 
 @query(

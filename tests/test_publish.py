@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from areastats.plans.change import carry_forward, change_table, change_tables, read_year
 from areastats.plans.legend import legend_breaks, legend_values
 from areastats.plans.metadata import SEASONS, category, season
-from areastats.operators.ranking import exact_quantiles, with_rank
+from areastats.operators.ranking import exact_quantiles, ranges, with_neighbours, with_rank
 from areastats.plans.publish import export_csv, export_name, json_documents, promote, target_of
 
 
@@ -50,12 +50,49 @@ def test_legend_matches_the_series_rules(spark, seed):
     if np.isnan(series[0]):
         series[0] = series.median()
     filled = series.interpolate()
-    for prefix in (1, 3, 8):
-        got = {r.column_name: r for r in legend_breaks(df, prefix).collect()}
-        want = filled.quantile([0.2, 0.4, 0.6, 0.8, 1.0]).tolist()
-        have = [got["v"][f"q{i}"] for i in range(1, 6)]
-        assert have == pytest.approx(want, abs=0.0051) and got["v"]["min"] == pytest.approx(series.min())
-        assert [got["txt"][c] for c in ("min", "q1", "q5")] == [0.0, 0.0, 0.0] and got["none"].q3 == 0.0
+    got = {r.column_name: r for r in legend_breaks(df).collect()}
+    want = filled.quantile([0.2, 0.4, 0.6, 0.8, 1.0]).tolist()
+    have = [got["v"][f"q{i}"] for i in range(1, 6)]
+    assert have == pytest.approx(want, abs=0.0051) and got["v"]["min"] == pytest.approx(series.min())
+    assert [got["txt"][c] for c in ("min", "q1", "q5")] == [0.0, 0.0, 0.0] and got["none"].q3 == 0.0
+
+
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.5, 1.0])
+def test_gaps_are_filled_across_ranges(spark, share):
+    """One column whose ids share all but their last digits lies in many ranges, some of them without any value."""
+    rnd = random.Random(int(share * 100))
+    values = {g: [rnd.uniform(0, 9) if rnd.random() < share else None for _ in range(400)] for g in ("a", "b")}
+    rows = [(g, f"47157{i:06d}", v) for g, vs in values.items() for i, v in enumerate(vs)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, id string, v double").repartition(4)
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        fixed = ranges(df, ["g"], ["id"])
+        parts = fixed.groupBy("g").agg(F.count_distinct("_part").alias("n")).collect()
+        assert all(r.n >= 3 for r in parts)
+        got = with_neighbours(fixed, ["g"], "id", "v").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+    assert len(got) == len(rows) and set(got[0].asDict()) == {"g", "id", "v", "pos", "prev", "next"}
+    for r in got:
+        own = values[r.g]
+        i = int(r.id[5:])
+        before = [(j + 1, own[j]) for j in range(i) if own[j] is not None][-1:]
+        after = next(([(j + 1, own[j])] for j in range(i + 1, 400) if own[j] is not None), [])
+        assert r.pos == i + 1
+        assert [tuple(x) for x in (r.prev, r.next) if x] == before + after
+
+
+def test_no_window_holds_a_column(spark):
+    """Windows over rows are cut by range; those over a whole group see one row for each range."""
+    df = spark.createDataFrame([("t", "1", None), ("t", "2", 1.0)], "table_name string, geoid10 string, v double")
+    plan = with_neighbours(ranges(df, ["table_name"], ["geoid10"]), ["table_name"], "geoid10", "v")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.split("\n") if " Window " in f" {line.lstrip(' :+-')}"]
+    assert windows and all("_part" in line for line in windows)
 
 
 def test_legend_of_a_single_row_table(spark):
