@@ -7,10 +7,12 @@ costs one small shuffle instead of one join per source.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,7 +53,8 @@ from areastats.plans.catalogue import (
     exceedances,
     output_columns,
 )
-from areastats.sources.files import append_table, replace_table
+from areastats.sources.files import append_table
+from areastats.sources.versions import get, put, read_log
 
 SQ_METRES_PER_SQ_MILE = 2589988.0
 SQ_METRES_PER_ACRE = 4046.86
@@ -414,41 +417,98 @@ def pending(wanted: DataFrame, finished: DataFrame) -> DataFrame:
     return wanted.join(finished, ["indicator", "geography"], "left_anti")
 
 
-def run(inputs: Inputs, root: str, year: str, params: Parameters | None = None, rerun: bool = False) -> DataFrame:
-    """Compute a year's summary and write it; with `rerun`, sources written before are read back instead.
+RUN_LOG = "run_log"
+RUN_FIELDS = "run long, step long, fingerprint string, source string, indicator string, geography string, folder string"
 
-    Each source is written to the year's folder and logged, so an interrupted run resumes after its last source.
+
+def fingerprint(sources: SourceFrames) -> str:
+    """A digest of the parameters and of the measures asked for; results under another one are not used again."""
+    measures = {s: {n: str(c) for n, c in m.items()} for s, m in sources.measures.items()}
+    text = repr((sources.params, sorted(i.name for i in sources.indicators), sorted(measures.items())))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def restricted(inputs: Inputs, geographies: set[str], source: str) -> Inputs:
+    """The inputs with the areas that a source needs for some geographies: the nearest search rolls up from tracts."""
+    needed = {*geographies, TRACT} if source == "nearest" else geographies
+    return replace(inputs, areas=inputs.areas.where(F.col("geography").isin(*needed)))
+
+
+def run(
+    inputs: Inputs,
+    root: str,
+    year: str,
+    params: Parameters | None = None,
+    rerun: bool = False,
+    geographies: list[str] | None = None,
+) -> DataFrame:
+    """Compute a year's summary, of some geographies or all, and make it the year's current version.
+
+    Each source is written to a folder of its own, then its (indicator, geography) pairs are logged. With `rerun` the last
+    run goes on: what it has logged is read back, and a source is computed only for the geographies it lacks. A run without
+    `rerun`, or with other parameters than the last one's, starts anew and uses nothing of the runs before. Changed input
+    tables are not noticed. The summary holds every geography the run has finished.
     """
     spark = inputs.areas.sparkSession
     home = f"{root.rstrip('/')}/year={year}"
     sources = SourceFrames(inputs, params)
-    geographies = [r[0] for r in inputs.areas.select("geography").distinct().collect()]
-    wanted = run_list(spark, sources.indicators, geographies)
-    todo = {r["indicator"] for r in wanted.select("indicator").distinct().collect()}
-    if rerun and _exists(spark, f"{home}/run_log"):
-        log = spark.read.parquet(f"{home}/run_log")
-        todo = {r["indicator"] for r in pending(wanted, log).select("indicator").distinct().collect()}
+    present = [r[0] for r in inputs.areas.select("geography").distinct().collect()]
+    wanted = run_list(spark, sources.indicators, [g for g in present if geographies is None or g in geographies])
+    own = fingerprint(sources)
+
+    def log(run: int, step: int, source: str | None, pairs: DataFrame, folder: str | None) -> None:
+        at = [F.lit(run).cast("long").alias("run"), F.lit(step).cast("long").alias("step"), F.lit(own).alias("fingerprint")]
+        named = [F.lit(source).cast("string").alias("source"), "indicator", "geography", F.lit(folder).cast("string").alias("folder")]
+        append_table(pairs.select(*at, *named), home, RUN_LOG)
+
+    past = read_log(spark, home, RUN_LOG, RUN_FIELDS)
+    last = past.agg(F.max(F.struct("run", "step", "fingerprint")).alias("r")).first()["r"]
+    now, step = (last["run"], last["step"]) if last else (0, 0)
+    if not (rerun and last and last["fingerprint"] == own):
+        now, step = now + 1, 0
+        log(now, step, None, spark.createDataFrame([(None, None)], "indicator string, geography string"), None)
+    # One row for each source, indicator and geography: bounded by the catalogue.
+    done = {}
+    for r in past.where((F.col("run") == now) & F.col("source").isNotNull()).orderBy("step").collect():
+        done.setdefault(r["source"], {})[r["indicator"], r["geography"]] = (r["step"], r["folder"])
+    wanted_pairs = [tuple(r) for r in wanted.collect()]
+
     builders = sources.builders()
     # The survey sources are narrow and many, so they share one job; every other source is a job of its own.
     together = [name for name in builders if name in inputs.survey]
     batches = ([("survey", together)] if together else []) + [(n, [n]) for n in builders if n not in together]
     frames = {}
     for stored, names in batches:
+        have = done.setdefault(stored, {})
         used_by = {i.name for i in sources.indicators if {i.source, *i.also} & set(names)}
-        path = f"measures/{stored}"
-        if used_by & todo or not _exists(spark, f"{home}/{path}"):
-            built = stack({n: builders[n]() for n in names})
-            replace_table(built, home, path)
-            append_table(wanted.where(F.col("indicator").isin(*used_by)), home, "run_log")
-        frames[stored] = spark.read.parquet(f"{home}/{path}")
-    summary = combine(inputs.areas, frames, sources.indicators)
-    replace_table(summary, home, "summary", ["geography"])
+        pairs = [p for p in wanted_pairs if p[0] in used_by]
+        lacking = {geo for ind, geo in pairs if (ind, geo) not in have}
+        if lacking:
+            part = sources
+            if lacking != set(present):
+                part = SourceFrames(restricted(inputs, lacking, stored), params)
+            made = part.builders()
+            built = stack({n: made[n]() for n in names}).where(F.col("geography").isin(*lacking))
+            folder, step = f"measures/{stored}/{uuid.uuid4().hex}", step + 1
+            built.write.parquet(f"{home}/{folder}")
+            todo = wanted.where(F.col("indicator").isin(*used_by) & F.col("geography").isin(*lacking))
+            log(now, step, stored, todo, folder)
+            have.update({p: (step, folder) for p in pairs if p[1] in lacking})
+            if part is not sources:
+                part.release()
+        newest: dict[str, tuple[int, str]] = {}
+        for (_, geo), at in have.items():
+            newest[geo] = max(at, newest.get(geo, at))
+        by_folder: dict[str, list[str]] = {}
+        for geo, (_, folder) in newest.items():
+            by_folder.setdefault(folder, []).append(geo)
+        stored_parts = [
+            spark.read.parquet(f"{home}/{folder}").where(F.col("geography").isin(*geos)) for folder, geos in by_folder.items()
+        ]
+        if stored_parts:
+            frames[stored] = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stored_parts)
+    finished = {geo for have in done.values() for _, geo in have} | {geo for _, geo in wanted_pairs}
+    summary = combine(inputs.areas.where(F.col("geography").isin(*finished)), frames, sources.indicators)
+    put(summary, root, "summary", year, ["geography"])
     sources.release()
-    return spark.read.parquet(f"{home}/summary")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
+    return get(spark, root, "summary", year)

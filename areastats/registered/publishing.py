@@ -10,8 +10,9 @@ from areastats.plans.legend import legend_breaks
 from areastats.plans.metadata import data_dictionary, source_report
 from areastats.plans.publish import export_csv, json_documents, new_rows, publish, updated_documents
 from areastats.registered.base import query, table
-from areastats.session import shared_dir
+from areastats.session import new_path, shared_dir
 from areastats.sources.files import append_table, column_catalogue, read_table, replace_table
+from areastats.sources.versions import get_year, put
 
 
 def _customer_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
@@ -44,6 +45,26 @@ def change_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_table(_customer_year(spark, sf_dir, 1997), _customer_year(spark, sf_dir, 1998))
 
 
+@query(
+    f"""WITH a AS ({_YEAR.format(1997)}), b AS ({_YEAR.format(1998)})
+  SELECT 'counts' AS name, geoid10, n AS value FROM a UNION ALL SELECT 'totals', geoid10, total FROM b"""
+)
+def carried_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year's tables with what it inherits: totals were replaced in 1998, counts stop in 1997."""
+    root = new_path(spark, "years")
+    for year in (1996, 1997):
+        found = _customer_year(spark, sf_dir, year)
+        put(found.select("geoid10", F.col("total").alias("value")), root, "totals", str(year))
+        put(found.select("geoid10", F.col("n").alias("value")), root, "counts", str(year))
+    newest = _customer_year(spark, sf_dir, 1998)
+    put(newest.select("geoid10", F.col("n").alias("value")), root, "totals", "1998")
+    put(newest.select("geoid10", F.col("total").alias("value")), root, "totals", "1998")
+    tables = get_year(spark, root, "1998")
+    return tables["counts"].select(F.lit("counts").alias("name"), "*").unionByName(
+        tables["totals"].select(F.lit("totals").alias("name"), "*")
+    )
+
+
 def _legend_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per region table, one row per customer of its nations; the balance is null for some, with gaps of every kind."""
     customer = table(spark, sf_dir, "customer")

@@ -10,7 +10,7 @@ from areastats.operators import families as fam
 from areastats.operators import spatial as sp
 from areastats.operators.clean import clip_points
 from areastats.plans.catalogue import Parameters, catalogue
-from areastats.plans.indicators import Inputs, Layer, SourceFrames, combine
+from areastats.plans.indicators import RUN_FIELDS, RUN_LOG, Inputs, Layer, SourceFrames, combine, run
 from areastats.registered.base import (
     AREA_CTE,
     CELL,
@@ -30,7 +30,8 @@ from areastats.registered.base import (
     supplier_points,
     table,
 )
-from areastats.session import materialise
+from areastats.session import materialise, new_path
+from areastats.sources.versions import read_log
 
 
 @query(f"WITH {AREA_CTE}, {CUSTOMER_CTE} SELECT geography, geoid10, count(*) AS n FROM cust JOIN area ON {IN_AREA} GROUP BY ALL")
@@ -416,3 +417,28 @@ def indicator_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "elec_chg_station", "hosp_dist",
     ]
     return summary.select("geoid10", "name10", "sqmiland", *[F.col(c).cast("double").alias(c) for c in shown])
+
+
+@query(
+    f"""WITH {AREA_CTE}, {CUSTOMER_CTE} SELECT CASE geography WHEN 'nation' THEN 'cen_tract_2010' ELSE 'cen_county_2010' END AS geography,
+  geoid10, count(c_custkey)::DOUBLE AS foreclose,
+  sum(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END)::DOUBLE AS elec_chg_station, 1 AS times
+  FROM cust JOIN area ON {IN_AREA} GROUP BY ALL"""
+)
+def resume_by_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year's run of one geography that goes on with the other; `times` counts how often the pair was computed."""
+    nation, region = nation_areas(spark, sf_dir), region_areas(spark, sf_dir)
+    shapes = nation.withColumn("geography", F.lit("cen_tract_2010")).unionByName(
+        region.withColumn("geography", F.lit("cen_county_2010"))
+    )
+    customers = customer_points(spark, sf_dir)
+    stations = customers.selectExpr("feature_id", "if(c_mktsegment = 'BUILDING', 'Electric', 'CNG') as fuel", "x", "y")
+    layers = {"regis_foreclosures": customers.select("feature_id", "x", "y"), "alternative_fuel_stations": stations}
+    inputs = Inputs(areas=shapes, layers={name: Layer(df, g.POINT_DIM) for name, df in layers.items()})
+    params, root = Parameters(cell=CELL, fine_cell=CELL), new_path(spark, "run")
+    run(inputs, root, "2018", params, geographies=["cen_county_2010"])
+    summary = run(inputs, root, "2018", params, rerun=True)
+    log = read_log(spark, f"{root}/year=2018", RUN_LOG, RUN_FIELDS).where("indicator = 'foreclosure'")
+    times = log.groupBy("geography").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    shown = [F.col(c).cast("double").alias(c) for c in ("foreclose", "elec_chg_station")]
+    return summary.join(times, "geography").where("foreclose is not null").select(*sp.AREA_KEYS, *shown, "times")
