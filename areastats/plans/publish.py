@@ -56,6 +56,37 @@ def json_documents(df: DataFrame, order: list[str], by: list[str] | None = None)
     return rows.select(*by, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("csv"))
 
 
+def json_fragments(df: DataFrame, order: list[str], by: list[str] | None = None, size: int = 10_000) -> DataFrame:
+    """The JSON arrays of `json_documents` in fragments of `size` objects: by, fragment (from 0), text.
+
+    The fragments of a group, one after the other, are its document: the first opens the bracket, the later ones begin
+    with a comma, the last one closes. No row holds more than `size` objects, however large a table is, and rows are placed
+    by their rank, so no task sees a whole group. An empty table has no fragment.
+    """
+    by = by or []
+    columns = [c for c in df.columns if c not in by]
+    # The group as one struct, so that null is a group like any other and no `by` is one group.
+    group = F.struct(F.lit(1).alias("one"), *by).alias("_group")
+    rows = df.select(group, *[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], row_json(columns).alias("_json"))
+    # Rows alike in all columns have the same text, so it does not matter which of them comes first.
+    placed = with_rank(rows, ["_group"], [*[f"_k{i}" for i in range(len(order))], "_json"], "_at")
+    number = F.floor(F.col("_at") / size).cast("long")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_json"))), lambda r: r["_json"])
+    parts = placed.groupBy("_group", number.alias("fragment")).agg(F.array_join(texts, ",").alias("_text"))
+    last = placed.groupBy("_group").agg(F.max(number).alias("_last"))
+    opening = F.when(F.col("fragment") == 0, "[").otherwise(",")
+    closing = F.when(F.col("fragment") == F.col("_last"), "]").otherwise("")
+    text = F.concat(opening, "_text", closing).alias("text")
+    return parts.join(last, "_group").select(*[F.col("_group")[c].alias(c) for c in by], "fragment", text)
+
+
+def export_json(df: DataFrame, path: str, order: list[str], size: int = 10_000) -> None:
+    """Write a table as one JSON array over text files: read in the order of their names, they are the document."""
+    fragments = json_fragments(df, order, size=size)
+    ordered = fragments.repartitionByRange("fragment").sortWithinPartitions("fragment")
+    ordered.select("text").write.mode("overwrite").text(path)
+
+
 def target_of(table: str, year: str) -> tuple[str, str]:
     """(year, geotype) of the published row a table belongs to."""
     year = "chng" if table.split("_")[-1] == "chng" else year

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from areastats.plans.change import change_table
 from areastats.plans.legend import legend_breaks
 from areastats.plans.metadata import data_dictionary, source_report
-from areastats.plans.publish import export_csv, json_documents, new_rows, publish, updated_documents
+from areastats.plans.publish import export_csv, json_documents, json_fragments, new_rows, publish, updated_documents
 from areastats.registered.base import query, table
 from areastats.session import new_path, shared_dir
 from areastats.sources.files import append_table, column_catalogue, read_table, replace_table
@@ -123,6 +123,20 @@ def json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_documents(rows, ["geoid10"], ["region"])
 
 
+@query(
+    """WITH r AS (SELECT n_nationkey AS nation, row_number() OVER (PARTITION BY n_nationkey ORDER BY o_orderkey) - 1 AS pos,
+    count(*) OVER (PARTITION BY n_nationkey) AS n, '{"geoid10":' || o_orderkey || ',"status":"' || o_orderstatus || '"}' AS j
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+  SELECT nation, CAST(pos // 100 AS BIGINT) AS fragment, (CASE WHEN pos // 100 = 0 THEN '[' ELSE ',' END) || string_agg(j, ',' ORDER BY pos)
+    || (CASE WHEN pos // 100 = (any_value(n) - 1) // 100 THEN ']' ELSE '' END) AS text FROM r GROUP BY nation, pos // 100"""
+)
+def json_in_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of each nation as one JSON array, a hundred objects a row."""
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey as o_custkey", "c_nationkey as nation")
+    rows = table(spark, sf_dir, "orders").join(customer, "o_custkey")
+    return json_fragments(rows.selectExpr("nation", "o_orderkey as geoid10", "o_orderstatus as status"), ["geoid10"], ["nation"], 100)
+
+
 def _nation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")

@@ -11,7 +11,7 @@ from areastats.plans.change import carry_forward, change_table, change_tables, r
 from areastats.plans.legend import legend_breaks, legend_values
 from areastats.plans.metadata import SEASONS, category, season
 from areastats.operators.ranking import exact_quantiles, ranges, with_neighbours, with_rank
-from areastats.plans.publish import export_csv, export_name, json_documents, promote, target_of
+from areastats.plans.publish import export_csv, export_json, export_name, json_documents, json_fragments, promote, target_of
 
 
 def test_change(spark):
@@ -135,6 +135,28 @@ def test_csv_export(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [("0", "1", None), ("1", "2", "1.0")]
 
 
+@pytest.mark.parametrize("size", [1, 7, 20, 1_000])
+def test_fragments_make_the_document(spark, size):
+    rows = [(g, f"{i:03d}", None if i % 3 else 'a "q"') for g, n in (("x", 41), (None, 20), ("z", 1)) for i in range(n)]
+    rows += [("x", "007", "tie"), ("x", "007", "tie"), ("x", None, "no id")]
+    df = spark.createDataFrame(rows, "g string, geoid10 string, v string").repartition(3)
+    documents = {r.g: r.csv for r in json_documents(df, ["geoid10"], ["g"]).collect()}
+    parts = json_fragments(df, ["geoid10"], ["g"], size).orderBy("fragment").collect()
+    for g, document in documents.items():
+        own = [r for r in parts if r.g == g]
+        assert [r.fragment for r in own] == list(range(-(-sum(x[0] == g for x in rows) // size)))
+        assert "".join(r.text for r in own) == document
+        assert all(r.text.count('"geoid10":') <= size for r in own)
+
+
+def test_json_files_are_the_document(spark, tmp_path):
+    df = spark.createDataFrame([(f"{i:03d}", i) for i in range(95)], "geoid10 string, n int").repartition(5)
+    export_json(df, str(tmp_path / "t.json"), ["geoid10"], size=10)
+    text = "".join(f.read_text() for f in sorted((tmp_path / "t.json").glob("part-*")))
+    assert json.loads(text) == [{"geoid10": f"{i:03d}", "n": i} for i in range(95)]
+    assert json_fragments(df.limit(0), ["geoid10"]).count() == 0
+
+
 def test_json_keeps_nulls_and_quotes(spark):
     df = spark.createDataFrame([("2", "D'Arc \"x\"", None), ("1", "n", 1.5)], "geoid10 string, name10 string, v double")
     text = json_documents(df, ["geoid10"]).first().csv
