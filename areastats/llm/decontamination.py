@@ -14,6 +14,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 from math import log
 
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areastats.llm.common import materialise
+
 END = 1 << 60
 #: The most that the light terms of an item may add to its score.
 LIGHT = 0.25
@@ -51,19 +54,39 @@ class TermIds(dict):
         return found
 
 
+@dataclass
+class Statistics:
+    """What BM25 needs of all items: how many have words, the longest and the mean length, and the items of each term."""
+
+    items: int
+    longest: int
+    mean: float
+    df: dict[str, int]
+
+    @classmethod
+    def of(cls, items: list[list[str]]) -> Statistics:
+        sizes = [len(w) for w in items]
+        return cls(len(items), max(sizes, default=1), sum(sizes) / max(1, len(sizes)), Counter(t for w in items for t in set(w)))
+
+
 class Index:
-    """BM25 postings of test items with block maxima. Weights are shares of an item's own score, so 1 is a full match."""
+    """BM25 postings of test items with block maxima. Weights are shares of an item's own score, so 1 is a full match.
+
+    Term weights, mean length and window length are those of the whole benchmark (`stats`), of which the items may be a
+    part; without `stats` the items are all there is.
+    """
 
-    def __init__(self, items: list[tuple[int, str | None]], k1: float = 1.2, b: float = 0.75, block: int = 8):
+    def __init__(
+        self, items: list[tuple[int, str | None]], stats: Statistics | None = None, k1: float = 1.2, b: float = 0.75, block: int = 8
+    ):
         self.items = [(i, w) for i, w in ((i, tokens(t)) for i, t in sorted(items, key=lambda x: (x[0], x[1] or ""))) if w]
-        n = len(self.items)
-        self.longest = max((len(w) for _, w in self.items), default=1)
-        mean = sum(len(w) for _, w in self.items) / max(1, n)
-        df = Counter(t for _, w in self.items for t in set(w))
-        self.terms = {t: k for k, t in enumerate(sorted(df))}
-        idf = {t: log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
-        self.lists: list[list[int]] = [[] for _ in df]
-        self.weights: list[list[float]] = [[] for _ in df]
+        n, stats = len(self.items), stats or Statistics.of([w for _, w in self.items])
+        self.longest, mean, df = stats.longest, stats.mean, stats.df
+        own_terms = sorted({t for _, w in self.items for t in w})
+        self.terms = {t: k for k, t in enumerate(own_terms)}
+        idf = {t: log(1 + (stats.items - df[t] + 0.5) / (df[t] + 0.5)) for t in own_terms}
+        self.lists: list[list[int]] = [[] for _ in own_terms]
+        self.weights: list[list[float]] = [[] for _ in own_terms]
         for at, (_, words) in enumerate(self.items):
             norm = k1 * (1 - b + b * len(words) / mean)
             own = {t: idf[t] * c * (k1 + 1) / (c + norm) for t, c in Counter(words).items()}
@@ -74,8 +97,8 @@ class Index:
         self.block = block
         self.block_max = [[max(w[i : i + block]) for i in range(0, len(w), block)] for w in self.weights]
         self.most = np.array([max(w) for w in self.weights], dtype=float)
-        light, heavy = np.zeros(n), np.ones(len(df), dtype=bool)
-        for t in sorted(range(len(df)), key=lambda t: (-len(self.lists[t]), t)):
+        light, heavy = np.zeros(n), np.ones(len(own_terms), dtype=bool)
+        for t in sorted(range(len(own_terms)), key=lambda t: (-len(self.lists[t]), t)):
             own = np.array(self.lists[t])
             if (light[own] + self.weights[t]).max() <= LIGHT:
                 light[own] += self.weights[t]
@@ -187,13 +210,35 @@ def find(texts: list[str | None], index: Index, ids: TermIds, threshold: float,
     return [best[k] for k in sorted(best)]
 
 
+def cut_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item_id, text, number of words and distinct terms of the items that have words."""
+    for batch in batches:
+        found = [(i, t, tokens(t)) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows = [(i, t, len(w), sorted(set(w))) for i, t, w in found if w]
+        if rows:
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string())]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["item_id", "text", "words", "terms"])
+
+
 def blocks(benchmark: DataFrame, items_per_block: int) -> Iterator[Index]:
-    """The items in blocks of a bounded number, each of which comes to the driver and goes to the tasks as one index."""
-    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text"))
-    count = max(1, -(-items.count() // items_per_block))
+    """The items in blocks of a bounded number, each of which comes to the driver and goes to the tasks as one index.
+
+    Counts of terms and lengths are taken over all items, so an item's scores do not depend on the blocks.
+    """
+    two = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
+    cut = two.where("item_id is not null").mapInArrow(cut_items, "item_id long, text string, words long, terms array<string>")
+    cut = materialise(cut)
+    n, longest, mean = cut.agg(F.count(F.lit(1)), F.max("words"), F.avg("words")).first()
+    count = max(1, -(-n // items_per_block))
+    terms = cut.select("item_id", "text", F.explode("terms").alias("term"))
+    df = materialise(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for k in range(count):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k) if count > 1 else items
-        yield Index([(r["item_id"], r["text"]) for r in own.collect() if r["item_id"] is not None])
+        own = cut.where(part == k)
+        known = df if count == 1 else df.join(terms.where(part == k).select("term").distinct(), "term")
+        stats = Statistics(n, longest or 1, mean or 0.0, {r["term"]: r["n"] for r in known.select("term", "n").collect()})
+        yield Index([(r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()], stats)
 
 
 def leaks(
@@ -201,8 +246,9 @@ def leaks(
 ) -> DataFrame:
     """One row per document and test item found in it: doc_id, item_id, score, question_overlap, answer_overlap.
 
-    Null and empty texts hold nothing; items without words or id are never found; items of equal text are each found;
-    repeated rows are each searched; empty tables give no rows. Other columns are not looked at.
+    Null and empty texts hold nothing; long texts are searched window by window, whole; items without words or id are never
+    found; items of equal text are each found; an item that repeats is found once; repeated rows are each searched; of windows
+    that tie the first counts; empty tables give no rows. Other columns are not looked at.
     """
     two = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -230,7 +276,10 @@ def leaks(
 def clean_documents(
     docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, similarity: float = 0.8, items_per_block: int = 20_000
 ) -> DataFrame:
-    """The rows of `docs` without any test item, with their columns, in one pass for each block of items."""
+    """The rows of `docs` without any test item, with their columns, in one pass for each block of items.
+
+    Null, empty and long texts, repeated rows and empty tables as in `leaks`; rows without text stay.
+    """
     for index in blocks(benchmark, items_per_block):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
