@@ -47,6 +47,19 @@ def to_state_plane(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.when(ok, x), F.when(ok, y)
 
 
+def project_rings(rings: Column) -> Column:
+    """Shapes with every vertex projected; parts, holes and the order of vertices stay."""
+
+    def vertex(v: Column) -> Column:
+        x, y = to_state_plane(v["x"], v["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def ring(r: Column) -> Column:
+        return F.struct(r["part"].alias("part"), r["hole"].alias("hole"), F.transform(r["pts"], vertex).alias("pts"))
+
+    return F.transform(rings, ring)
+
+
 def point_text(x: Column, y: Column, srid: int = 2274) -> Column:
     """Point in extended well-known text; null where a coordinate is missing."""
     ok = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)

@@ -91,6 +91,15 @@ def clip_points(points: DataFrame, region_tiles: DataFrame, cell: float) -> Data
     return within(points, region_tiles.drop("geography", "geoid10"), cell)
 
 
+def clip_lines(lines: DataFrame, region: DataFrame, cell: float) -> DataFrame:
+    """Lines of a layer cut to the region's areas: their attributes and the geometry that lies inside, one row for each area
+    of the region that a line runs through."""
+    from areastats.operators.spatial import clip_lines as cut
+
+    inside = cut(lines.select("feature_id", "rings"), region, cell)
+    return lines.drop("rings").join(inside, "feature_id")
+
+
 def assessor_tables(catalogue: DataFrame) -> DataFrame:
     """Assessor tables to reload: names starting `sca_`, without the 2004 tables and the parcel layers."""
     name = F.col("table_name")

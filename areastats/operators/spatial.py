@@ -122,17 +122,26 @@ def nearest_distance(points: DataFrame, layers: list[tuple[DataFrame, int]], cel
     return points.join(found, keys, "left").select(*answer, "dist")
 
 
-def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: float = 0.5) -> DataFrame:
-    """Length of each line within each area widened by `buffer`, for the pairs that truly intersect.
+#: Direction of a piece.
+DX, DY = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
 
-    Lines are cut at cell borders, so every part is measured where its tile is. Inside a part the length is the sum over
-    the stretches between crossing points whose middle is in the area or within the buffer. Returns line keys, area keys
-    and `length`.
-    """
+
+def _stretch_counts(buffer: float) -> str:
+    """Whether the middle `s.m` of a stretch is in the area or within the buffer."""
+    px, py = f"(e.x1 + s.m * {DX})", f"(e.y1 + s.m * {DY})"
+    return (
+        f"{g.locate('r_ray', 'r_flip', px, py)} <> 0"
+        f" or exists(close, p -> {g.point_piece_sq(px, py, 'p')} <= {num(buffer * buffer)})"
+    )
+
+
+def _cut_parts(lines: DataFrame, areas: DataFrame, cell: float, buffer: float) -> tuple[DataFrame, list[str]]:
+    """The parts of lines in the cells of areas, with the parameters `ts` at which a part may enter or leave its area
+    widened by `buffer`. Lines are cut at cell borders, so every part is judged where its tile is."""
     lt = prefixed(tile(lines, g.LINE_DIM, cell), "l_")
     at = prefixed(area_tiles(areas, cell, buffer), "r_")
     keys = _keys(lt, "l_")
-    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    dx, dy = DX, DY
 
     def share(axis: str, border: str) -> str:
         return f"try_divide({border} * {num(cell)} - e.{axis}1, e.{axis}2 - e.{axis}1)"
@@ -173,12 +182,19 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
     inner = f"filter(flatten(transform(close, p -> array({', '.join(stops)}))), t -> t > ta and t < tb)"
     cuts = f"if(size(close) = 0, array(ta, tb), array_sort(array_distinct(concat(array(ta, tb), {inner}))))"
     joined = g.frozen(joined, joined.columns, {"ts": cuts})
+    return joined, keys
 
-    px, py = f"(e.x1 + s.m * {dx})", f"(e.y1 + s.m * {dy})"
-    counts = (
-        f"{g.locate('r_ray', 'r_flip', px, py)} <> 0"
-        f" or exists(close, p -> {g.point_piece_sq(px, py, 'p')} <= {num(buffer * buffer)})"
-    )
+
+def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: float = 0.5) -> DataFrame:
+    """Length of each line within each area widened by `buffer`, for the pairs that truly intersect.
+
+    The length is the sum over the stretches between crossing points whose middle is in the area or within the buffer.
+    Returns line keys, area keys and `length`.
+    """
+    joined, keys = _cut_parts(lines, areas, cell, buffer)
+    dx, dy = DX, DY
+    mid_x, mid_y = f"(e.x1 + (ta + tb) / 2 * {dx})", f"(e.y1 + (ta + tb) / 2 * {dy})"
+    counts = _stretch_counts(buffer)
     spans = (
         "zip_with(slice(ts, 1, size(ts) - 1), slice(ts, 2, size(ts) - 1),"
         " (a, b) -> named_struct('m', (a + b) / 2, 'w', b - a))"
@@ -203,3 +219,43 @@ def clipped_length(lines: DataFrame, areas: DataFrame, cell: float, buffer: floa
         .where("meets and length > 0")
         .drop("meets")
     )
+
+
+def clip_lines(lines: DataFrame, areas: DataFrame, cell: float) -> DataFrame:
+    """The geometry of each line (`feature_id`, `rings`) within each area: feature_id, area keys and `rings`, one part for
+    each stretch that does not leave the area, with new vertices where it enters and leaves.
+
+    Stretches on the border belong to the area, as in `clipped_length` without a buffer, whose lengths these have. Lines
+    that only touch an area, lines without length and null shapes give no row; parts follow the line's direction.
+    """
+    each = lines.selectExpr("feature_id", f"posexplode({g.pieces(g.LINE_DIM)}) as (_i, _e)")
+    ends = "array(named_struct('x', _e.x1, 'y', _e.y1), named_struct('x', _e.x2, 'y', _e.y2))"
+    each = each.selectExpr("feature_id", "_i", f"array(named_struct('part', 0, 'hole', false, 'pts', {ends})) as rings")
+    joined, keys = _cut_parts(each, areas, cell, 0.0)
+    spans = (
+        "zip_with(slice(ts, 1, size(ts) - 1), slice(ts, 2, size(ts) - 1),"
+        " (a, b) -> named_struct('m', (a + b) / 2, 'a', a, 'b', b))"
+    )
+    whole = "array(named_struct('m', (ta + tb) / 2, 'a', ta, 'b', tb))"
+    kept = f"if(r_inside, {whole}, filter({spans}, s -> {_stretch_counts(0.0)}))"
+    joined = g.frozen(joined, [*keys, *AREA_KEYS, "e"], {"kept": kept})
+    stretches = joined.selectExpr("feature_id", *AREA_KEYS, "_i", "e", "explode(kept) as s")
+
+    def at(t: str) -> str:
+        x = f"if({t} = 1, e.x2, e.x1 + {t} * {DX})"
+        return f"named_struct('x', {x}, 'y', if({t} = 1, e.y2, e.y1 + {t} * {DY}))"
+
+    stretch = f"named_struct('i', _i, 'a', s.a, 'b', s.b, 'p', {at('s.a')}, 'q', {at('s.b')})"
+    # A line is one value in its row, and so are its stretches within an area.
+    ordered = stretches.groupBy("feature_id", *AREA_KEYS).agg(F.array_sort(F.collect_list(F.expr(stretch))).alias("_s"))
+    # A stretch goes on with the one before if it lies on the same piece (a cell border) or starts where that one ends.
+    merged = """aggregate(_s, named_struct('i', -1, 'b', 0D, 'q', _s[0].p, 'parts', cast(array() as array<array<struct<x:double,y:double>>>)),
+      (acc, s) -> named_struct('i', s.i, 'b', s.b, 'q', s.q, 'parts',
+        if(size(acc.parts) > 0 and s.i = acc.i and abs(s.a - acc.b) < 1e-12,
+          concat(slice(acc.parts, 1, size(acc.parts) - 1), array(concat(
+            slice(element_at(acc.parts, -1), 1, size(element_at(acc.parts, -1)) - 1), array(s.q)))),
+        if(size(acc.parts) > 0 and s.p = acc.q,
+          concat(slice(acc.parts, 1, size(acc.parts) - 1), array(concat(element_at(acc.parts, -1), array(s.q)))),
+          concat(acc.parts, array(array(s.p, s.q)))))), acc -> acc.parts)"""
+    rings = f"transform({merged}, (pts, n) -> named_struct('part', n, 'hole', false, 'pts', pts)) as rings"
+    return ordered.selectExpr("feature_id", *AREA_KEYS, rings)

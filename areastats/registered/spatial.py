@@ -137,6 +137,32 @@ def clip_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.join(size, sp.AREA_KEYS).select(*sp.AREA_KEYS, "lines", per.alias("per_sqmi"))
 
 
+#: Stretches of the two segments of a line in an area, with the ends that the area leaves of them.
+_STRETCHES = f"""{AREA_CTE}, {_LINES},
+  t AS (SELECT geography, geoid10, id, ax, ay, bx, yy, sqrt((bx - ax) ** 2 + (yy - ay) ** 2) l,
+    CASE WHEN bx = ax THEN 0.0::DOUBLE ELSE least((x0 - ax) / (bx - ax), (x0 + 100000 - ax) / (bx - ax)) END tx0,
+    CASE WHEN bx = ax THEN 1.0::DOUBLE ELSE greatest((x0 - ax) / (bx - ax), (x0 + 100000 - ax) / (bx - ax)) END tx1,
+    CASE WHEN yy = ay THEN 0.0::DOUBLE ELSE least((y0 - ay) / (yy - ay), (y0 + 100000 - ay) / (yy - ay)) END ty0,
+    CASE WHEN yy = ay THEN 1.0::DOUBLE ELSE greatest((y0 - ay) / (yy - ay), (y0 + 100000 - ay) / (yy - ay)) END ty1
+    FROM seg JOIN area ON (bx <> ax OR (ax > x0 AND ax < x0 + 100000)) AND (yy <> ay OR (ay > y0 AND ay < y0 + 100000))),
+  s AS (SELECT *, greatest(0, tx0, ty0) a, least(1, tx1, ty1) b FROM t WHERE l > 0 AND least(1, tx1, ty1) > greatest(0, tx0, ty0))"""
+
+
+@query(
+    f"""WITH {_STRETCHES} SELECT geography, geoid10, id, round(sum(l * (b - a)), 2) AS length,
+  round(min(least(ax + a * (bx - ax), ax + b * (bx - ax))), 2) AS x_min, round(max(greatest(ax + a * (bx - ax), ax + b * (bx - ax))), 2) AS x_max,
+  round(min(least(ay + a * (yy - ay), ay + b * (yy - ay))), 2) AS y_min, round(max(greatest(ay + a * (yy - ay), ay + b * (yy - ay))), 2) AS y_max
+  FROM s GROUP BY ALL"""
+)
+def clip_line_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut to areas: length and extent of the geometry that is left."""
+    cut = sp.clip_lines(_supplier_lines(spark, sf_dir), areas(spark, sf_dir).select(*sp.AREA_KEYS, "rings"), 30000.0)
+    sizes = f"transform({g.pieces(g.LINE_DIM)}, e -> sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))"
+    spots = "flatten(transform(rings, r -> r.pts))"
+    ends = [f"round(array_{m}(transform({spots}, v -> v.{c})), 2) as {c}_{m}" for c in "xy" for m in ("min", "max")]
+    return cut.selectExpr(*sp.AREA_KEYS, "feature_id as id", f"round(aggregate({sizes}, 0D, (a, v) -> a + v), 2) as length", *ends)
+
+
 @query(
     f"""WITH {NATION_CTE}, {SUPPLIER_SHEET_CTE} SELECT s_suppkey, geoid10 FROM supp JOIN nat
   ON greatest(x0 - x, x - x0 - 100000, 0) + greatest(y0 - y, y - y0 - 100000, 0) <= r"""

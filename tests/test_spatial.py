@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from areastats.functions import geometry as g
+from areastats.functions.projection import project_rings, to_state_plane
+from areastats.operators.clean import clip_lines
 from areastats.operators import families as fam
 from areastats.operators import spatial as sp
 from areastats.operators.tiles import tile
@@ -135,6 +137,60 @@ def test_clipped_length(spark, shapes, cell):
     assert wide[(1, "B")] == pytest.approx(5.5) and wide[(3, "A")] == pytest.approx(10) and (4, "B") not in wide
 
 
+@pytest.mark.parametrize("cell", CELLS)
+def test_clipped_geometry(spark, shapes, cell):
+    def line(*parts):
+        return [(n, False, pts) for n, pts in enumerate(parts)]
+
+    rows = [
+        (1, line([(-5.0, 5.0), (15.0, 5.0)])),  # through A's hole into B
+        (2, line([(1.0, 1.0), (2.0, 1.0), (2.0, 3.0)], [(7.0, 8.0), (9.0, 8.0)])),  # inside A, two parts
+        (3, line([(-3.0, 20.0), (40.0, 20.0)])),  # beside all
+        (4, line([(8.0, 9.0), (12.0, 9.0), (12.0, 1.0), (8.0, 1.0)])),  # leaves A and comes back
+        (5, line([(3.0, 3.0), (3.0, 3.0)])),
+        (6, None),
+    ]
+    lines = spark.createDataFrame(rows, f"feature_id int, rings {g.RINGS_TYPE}")
+    got = {
+        (r.feature_id, r.geoid10): [[(round(v.x, 9), round(v.y, 9)) for v in p.pts] for p in r.rings]
+        for r in sp.clip_lines(lines, shapes, cell).collect()
+    }
+    want = {
+        (1, "A"): [[(0, 5), (4, 5)], [(6, 5), (10, 5)]],
+        (1, "B"): [[(10, 5), (15, 5)]],
+        (1, "D"): [[(0, 5), (10, 5)]],
+        (2, "A"): [[(1, 1), (2, 1), (2, 3)], [(7, 8), (9, 8)]],
+        (4, "A"): [[(8, 9), (10, 9)], [(10, 1), (8, 1)]],
+        (4, "B"): [[(10, 9), (12, 9), (12, 1), (10, 1)]],
+    }
+    assert {k: v for k, v in got.items() if k[1] != "D" or k[0] == 1} == want
+
+
+@pytest.mark.parametrize("cell", CELLS)
+def test_clipped_geometry_has_the_clipped_length(spark, shapes, cell):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(40):
+        pts = [(rnd.uniform(-10, 35), rnd.uniform(-10, 12)) for _ in range(rnd.randint(2, 6))]
+        rows.append((i, [(0, False, pts)]))
+    lines = spark.createDataFrame(rows, f"feature_id int, rings {g.RINGS_TYPE}")
+    want = {(r.feature_id, r.geoid10): r.length for r in sp.clipped_length(lines, shapes, cell, 0.0).collect()}
+    got = {}
+    for r in sp.clip_lines(lines, shapes, cell).collect():
+        got[r.feature_id, r.geoid10] = sum(math.dist(a, b) for p in r.rings for a, b in zip(p.pts, p.pts[1:]))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_projected_vertices_are_projected_points(spark):
+    pts = [(-90.05, 35.15), (-89.9, 35.2), (-89.8, 35.0)]
+    df = spark.createDataFrame([(1, [(0, False, pts), (0, True, pts[:2])])], f"id int, rings {g.RINGS_TYPE}")
+    got = df.select(project_rings(F.col("rings")).alias("rings")).first().rings
+    spots = spark.createDataFrame(pts, "lon double, lat double")
+    want = [tuple(r) for r in spots.select(*to_state_plane(F.col("lon"), F.col("lat"))).collect()]
+    assert [tuple(v) for v in got[0].pts] == want and [tuple(v) for v in got[1].pts] == want[:2]
+    assert [r.hole for r in got] == [False, True]
+
+
 def test_partition_lengths_add_up(spark):
     rnd = random.Random(5)
     cells = [("g", f"{i}-{j}", [(0, False, square(i * 10.0, j * 10.0, 10.0))]) for i in range(4) for j in range(4)]
@@ -230,3 +286,10 @@ def test_nearest_ends_without_usable_places(spark):
     assert got == {1: 5.0, 2: None, 3: None}
     only = spark.createDataFrame([(nan, nan)], "x double, y double")
     assert {r.dist for r in sp.nearest_distance(points, [(only, 0)], 1.0).collect()} == {None}
+
+
+def test_clipped_layer_keeps_its_attributes(spark, shapes):
+    rows = [(1, "road", [(0, False, [(-5.0, 2.0), (5.0, 2.0)])]), (2, "far", [(0, False, [(90.0, 90.0), (91.0, 90.0)])])]
+    lines = spark.createDataFrame(rows, f"feature_id int, name string, rings {g.RINGS_TYPE}")
+    found = clip_lines(lines, shapes.where("geoid10 = 'A'"), 3.0).collect()
+    assert [(r.feature_id, r.name, [tuple(v) for v in r.rings[0].pts]) for r in found] == [(1, "road", [(0.0, 2.0), (5.0, 2.0)])]
