@@ -41,12 +41,14 @@ def with_neighbours(fixed: DataFrame, groups: list[str], order: str, value: str)
     its count and its first and last value. So no task sees more of a group than one range, or these marks.
     """
     inner = W.partitionBy("_part", *groups).orderBy(order)
+    # The next mark is the last one in backward order: a frame that runs to the end would be read again for every row.
+    back = W.partitionBy("_part", *groups).orderBy(F.desc("_in"))
     rows = fixed.withColumn("_in", F.row_number().over(inner))
     mark = F.when(F.col(value).isNotNull(), F.struct(F.col("_in").alias("pos"), F.col(value).alias("v")))
     rows = rows.withColumn("_mark", mark).withColumns(
         {
             "_prev": F.last("_mark", True).over(inner.rowsBetween(W.unboundedPreceding, -1)),
-            "_next": F.first("_mark", True).over(inner.rowsBetween(1, W.unboundedFollowing)),
+            "_next": F.last("_mark", True).over(back.rowsBetween(W.unboundedPreceding, -1)),
         }
     )
 
@@ -54,8 +56,7 @@ def with_neighbours(fixed: DataFrame, groups: list[str], order: str, value: str)
         moved = F.struct((F.col("_start") + F.col(f"{mark}.pos")).alias("pos"), F.col(f"{mark}.v").alias("v"))
         return F.when(F.col(mark).isNotNull(), moved)
 
-    outer = W.partitionBy(*groups).orderBy("_part")
-    earlier, later = outer.rowsBetween(W.unboundedPreceding, -1), outer.rowsBetween(1, W.unboundedFollowing)
+    earlier, later = (W.partitionBy(*groups).orderBy(o).rowsBetween(W.unboundedPreceding, -1) for o in ("_part", F.desc("_part")))
     # Marks compare by position first, so the least and the greatest are the first and the last.
     marks = rows.groupBy("_part", *groups).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mark").alias("_first"), F.max("_mark").alias("_last")
@@ -66,7 +67,7 @@ def with_neighbours(fixed: DataFrame, groups: list[str], order: str, value: str)
         *groups,
         "_start",
         F.last("_last", True).over(earlier).alias("_far_prev"),
-        F.first("_first", True).over(later).alias("_far_next"),
+        F.last("_first", True).over(later).alias("_far_next"),
     )
     return rows.join(marks, ["_part", *groups]).select(
         *[c for c in fixed.columns if c != "_part"],

@@ -95,6 +95,14 @@ def test_no_window_holds_a_column(spark):
     assert windows and all("_part" in line for line in windows)
 
 
+def test_no_frame_runs_to_the_end(spark):
+    """Frames that end at the last row are read again for every row, so a range would cost the square of its rows."""
+    df = spark.createDataFrame([("t", "1", None), ("t", "2", 1.0)], "table_name string, geoid10 string, v double")
+    plan = with_neighbours(ranges(df, ["table_name"], ["geoid10"]), ["table_name"], "geoid10", "v")
+    text = plan._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in text and "unboundedfollowing" not in text
+
+
 def test_legend_of_a_single_row_table(spark):
     df = spark.createDataFrame([("32820", 7.126, None)], "geoid10 string, v double, empty double")
     got = {r.column_name: r for r in legend_values({"summary_cen_msa_2013": df}).collect()}
