@@ -119,7 +119,8 @@ def nearest_distance(points: DataFrame, layers: list[tuple[DataFrame, int]], cel
             inside = inside.where(f"inside or {g.locate('ray', 'flip', 'x', 'y')} <> 0")
             parts.append(inside.select(*keys, F.lit(0.0).alias("dist")))
     found = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.min("dist").alias("dist"))
-    return points.join(found, keys, "left").select(*answer, "dist")
+    # Not by broadcast: places on a lattice are small as bytes and large in memory.
+    return points.join(found.hint("merge"), keys, "left").select(*answer, "dist")
 
 
 #: Direction of a piece.

@@ -73,3 +73,17 @@ def test_crowds_are_not_paired(spark, away, monkeypatch):
     want = check.groupBy("x", "y").agg(F.min(F.expr("pow(x - a, 2) + pow(y - b, 2)")).alias("want"))
     assert want.join(found, ["x", "y"]).where("abs(sq - want) > 1e-6").count() == 0
     assert found.count() == places.distinct().count()
+
+
+def test_far_pieces_in_a_row_are_told_apart(spark):
+    """Features in one row far from a crowd: a cell of places keeps those opposite, not the row, and nothing is broadcast."""
+    places = spark.range(1_600).selectExpr("id % 40 / 8D as x", "id div 40 / 8D as y")
+    dots = spark.range(2_000).selectExpr("id % 1000 / 64D as x1", "3e5 + id div 1000 as y1", "id % 1000 / 64D as x2", "3e5 + id div 1000 as y2")
+    at, above = (0.0, 0.0, 3.1e5), None
+    for depth in range(10):
+        pairs = nearest.cell_pairs(places, dots, [], at, depth, above)
+        above = pairs.where("true")
+    row = pairs.groupBy("pcx", "pcy").agg(F.sum("im").alias("n"))
+    assert row.agg(F.max("n")).first()[0] < 400
+    plan = nearest.nearest_pieces(places, dots, [])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
