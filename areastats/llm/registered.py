@@ -84,7 +84,7 @@ from b
 
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_classifier.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), max_rows=20_000)
+    return quality_classifier.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 @query

@@ -10,6 +10,8 @@ import pytest
 import xxhash
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from areastats.llm import decontamination, mixing, quality_classifier, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -105,6 +107,24 @@ def test_quality_of_odd_texts_and_tables(spark):
     assert {r.score for r in quality_classifier.classify(rows_of(spark, good), labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_learns_from_every_label(spark):
+    """More labels than once were read, and two kinds of pairs: counts, moments, pairs and the cut are those of all rows."""
+    rows = spark.range(30_000).selectExpr("id as doc_id", "int(id % 3 = 0) as quality", "transform(sequence(1, 15), i -> pmod(xxhash64(id, i), 1000) / 1000D + if(id % 3 = 0, i / 50D, 0D)) as x")
+    pairs = quality_classifier.preference_pairs(rows, 10_000, 20_000, F.col("x"))
+    assert pairs.count() == 200_000
+    few = rows.where("doc_id < 30")
+    assert quality_classifier.preference_pairs(few, 10, 20, F.col("x")).count() == 200
+    model = quality_classifier.train_rows(rows)
+    x, y = (np.array(v) for v in zip(*((r.x, r.quality) for r in rows.collect()), strict=True))
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-8) and np.allclose(model.scale, x.std(axis=0), atol=1e-8)
+    order = np.sort((x - model.mean) / model.scale @ model.weights)
+    near = np.arange(19_000, 21_002)
+    best = near[np.argmax(order[near] - order[near - 1])]
+    assert model.cut == pytest.approx((order[best] + order[best - 1]) / 2, abs=1e-9)
+    again = quality_classifier.train_rows(rows.repartition(7))
+    assert (again.weights == model.weights).all() and again.cut == pytest.approx(model.cut, abs=1e-9)
+
+
 def test_stages(spark, docs):
     """On the small tables: every stage keeps the columns, and its decisions are those of the plain version."""
     labels = spark.read.parquet(f"{SF}/labels.parquet")
