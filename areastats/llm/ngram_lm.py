@@ -10,7 +10,8 @@ and queried in place; bulk queries decode a shard once.
 
 p(b) is the add-0.1 unigram probability, and backoff(a) is the mass that the kept pairs leave, so each context sums to 1.
 Counts and scores travel packed: one row for each block of documents and bucket, whose arrays are sorted and looked up at
-once. Words outside the head get their exact counts from the bucket of their hash.
+once. Words outside the head get their exact counts and backoff weights from the bucket of their hash, and pairs with such
+a word have shards of their own, by hashes in place of ids, so every pair seen often enough counts whatever its words.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import struct
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,7 @@ LEAST = 2
 BLOCK_DOCS, BLOCK_BYTES = 2_000, 8 << 20
 PACK = "bucket int, kind int, block long, a binary, b binary, c binary"
 ANSWER = "block long, kind int, docs binary, base binary, known binary, model binary"
+STORE = ["h", "n", "trie", "rare", "contexts", "backoffs"]
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -93,8 +96,9 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 class Trie:
     """One shard of the second level over a buffer: contexts, pointers, successors, quantised log10 probabilities."""
 
-    def __init__(self, data):
-        self.contexts, at = EliasFano.from_buffer(data)
+    def __init__(self, data, at: int = 0, bits: int = 16):
+        self.bits = bits
+        self.contexts, at = EliasFano.from_buffer(data, at)
         self.pointers, at = EliasFano.from_buffer(data, at)
         self.successors, at = EliasFano.from_buffer(data, at)
         n, m = struct.unpack_from("<II", data, at)
@@ -102,9 +106,9 @@ class Trie:
         self.codes = np.frombuffer(data, np.uint8, n, at + 8 + 4 * m)
 
     @staticmethod
-    def build(keys: np.ndarray, log_p: np.ndarray) -> bytes:
-        """From ascending pair keys (context << 16 | successor) and log10 probabilities."""
-        contexts, counts = np.unique(keys >> 16, return_counts=True)
+    def build(keys: np.ndarray, log_p: np.ndarray, bits: int = 16) -> bytes:
+        """From ascending pair keys (context << bits | successor) and log10 probabilities."""
+        contexts, counts = np.unique(keys >> bits, return_counts=True)
         rank = np.repeat(np.arange(len(contexts), dtype=np.uint64), counts)
         pointers = np.concatenate([[0], np.cumsum(counts)])
         order = np.argsort(log_p, kind="stable")
@@ -112,7 +116,7 @@ class Trie:
         code[order] = np.arange(len(keys)) * 256 // max(1, len(keys))
         n = np.bincount(code, minlength=256)
         book = (np.bincount(code, weights=log_p, minlength=256) / np.maximum(n, 1)).astype("<f4")
-        lists = [EliasFano.build(x).to_bytes() for x in (contexts, pointers, rank << np.uint64(16) | (keys & 0xFFFF).astype(np.uint64))]
+        lists = [EliasFano.build(x).to_bytes() for x in (contexts, pointers, rank << np.uint64(bits) | (keys & (1 << bits) - 1).astype(np.uint64))]
         return b"".join(lists) + struct.pack("<II", len(keys), len(book)) + book.tobytes() + code.tobytes()
 
     def log_p(self, context: int, successor: int) -> float | None:
@@ -121,8 +125,8 @@ class Trie:
         if r == self.contexts.n or self.contexts.select(r) != context:
             return None
         end = self.pointers.select(r + 1)
-        at = self.successors.successor(r << 16 | successor, self.pointers.select(r), end)
-        if at == end or self.successors.select(at) != r << 16 | successor:
+        at = self.successors.successor(r << self.bits | successor, self.pointers.select(r), end)
+        if at == end or self.successors.select(at) != r << self.bits | successor:
             return None
         return float(self.book[self.codes[at]])
 
@@ -132,16 +136,42 @@ class Trie:
         contexts, successors = self.contexts.all().astype(np.int64), self.successors.all().astype(np.int64)
         if not len(successors):
             return out
-        r = np.searchsorted(contexts, keys >> 16)
+        r = np.searchsorted(contexts, keys >> self.bits)
         known = r < len(contexts)
-        known[known] = contexts[r[known]] == (keys >> 16)[known]
-        want = r.astype(np.int64) << 16 | keys & 0xFFFF
+        known[known] = contexts[r[known]] == (keys >> self.bits)[known]
+        want = r.astype(np.int64) << self.bits | keys & (1 << self.bits) - 1
         at = np.minimum(np.searchsorted(successors, want), len(successors) - 1)
         known &= successors[at] == want
         out[known] = self.book[self.codes[at[known]]]
         return out
 
 
+class HashTrie:
+    """A shard of pairs with a word outside the head: its words as one ascending list of hashes, and a trie over their places.
+
+    The values are log10 ratios of a pair's probability to that by backoff.
+    """
+
+    def __init__(self, data):
+        words, at = EliasFano.from_buffer(data)
+        self.words, self.trie = words.all(), Trie(data, at, 32)
+
+    @staticmethod
+    def build(a: np.ndarray, b: np.ndarray, ratio: np.ndarray) -> bytes:
+        words, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        keys = place[: len(a)].astype(np.int64) << 32 | place[len(a) :]
+        order = np.argsort(keys)
+        return EliasFano.build(words).to_bytes() + Trie.build(keys[order], ratio[order], 32)
+
+    def ratios(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of many pairs; NaN where a pair is not kept."""
+        out = np.full(len(a), np.nan)
+        at = [np.minimum(np.searchsorted(self.words, h), len(self.words) - 1) for h in (a, b)]
+        known = (self.words[at[0]] == a) & (self.words[at[1]] == b)
+        out[known] = self.trie.log_ps(at[0][known].astype(np.int64) << 32 | at[1][known])
+        return out
+
+
 class Lexicon:
     """The trie's first level: head words by hash, with ids, log10 unigram probabilities and log10 backoff weights."""
 
@@ -184,6 +214,28 @@ def pairs(ids: np.ndarray, is_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[at] << 16 | ids[at + 1], at
 
 
+def rare_pairs(ids: np.ndarray, h: np.ndarray, is_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of neighbours in one text of which one is outside the head (the end has hash 0), and the contexts' positions."""
+    at = np.flatnonzero(~is_end[:-1] & ((ids[:-1] < 0) | (ids[1:] < 0))) if len(ids) else np.zeros(0, np.int64)
+    return h[at], h[at + 1], at
+
+
+def distinct(*keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct tuples of some columns, ascending, and how often each occurs, or the sums of weights."""
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    which = np.cumsum(new) - 1
+    n = np.bincount(which, weights=None if weights is None else weights[order]).astype(np.int64)
+    return [k[new] for k in keys], n
+
+
+def bucket_of_rare(a: np.ndarray, b: np.ndarray, buckets: int) -> np.ndarray:
+    """By context and four bits of the successor."""
+    return bucket_of_word((a ^ (b & np.uint64(15))) * np.uint64(0x9E3779B97F4A7C15), buckets).astype(np.int64)
+
+
 def count_words(train: DataFrame, buckets: int, head: int) -> DataFrame:
     """Exact counts of all training words: a row for each bucket of hashes, ascending, with its share of the head."""
 
@@ -243,11 +295,93 @@ def count_pairs(train: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
     return materialise(train.mapInArrow(run, PACK).groupBy("bucket").applyInPandas(add, schema))
 
 
-def set_backoff(lexicon: Lexicon, counted: DataFrame) -> None:
-    """Backoff weights from the kept mass. To the driver come at most 16 entries for each head word."""
+def count_rare_pairs(train: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
+    """Pairs kept with a word outside the head, a row each: the hashes a and b and the count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, words in blocks(batches):
+            ids, h, _, is_end = lexicon.coded(words)
+            (a, b), n = distinct(*rare_pairs(ids, h, is_end)[:2])
+            if len(a):
+                yield packed(dealt(bucket_of_rare(a, b, buckets), 0, 0, a, b, n.astype("<u4")))
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, n = (np.frombuffer(b"".join(pdf[c]), t) for c, t in zip("abc", (np.uint64, np.uint64, "<u4"), strict=True))
+        (a, b), n = distinct(a, b, weights=n)
+        kept = n >= LEAST
+        return pd.DataFrame({"a": a[kept].view(np.int64), "b": b[kept].view(np.int64), "n": n[kept]})
+
+    return materialise(train.mapInArrow(run, PACK).groupBy("bucket").applyInPandas(add, "a long, b long, n long"))
+
+
+def rare_mass(rare: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(word, count) of the training words seen often enough for a pair, and (a, mass, count) of each context of `rare`."""
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for h, n in zip(pdf["h"], pdf["n"], strict=True):
+                h, n = np.frombuffer(h, np.int64), np.frombuffer(n, np.int64)
+                yield pd.DataFrame({"word": h[n >= LEAST], "count": n[n >= LEAST]})
+
+    words = vocabulary.select("h", "n").mapInPandas(unpack, "word long, count long")
+    mass = rare.groupBy("a").agg(F.sum(F.col("n") - DISCOUNT).alias("mass")).join(words.withColumnRenamed("word", "a"), "a")
+    return words, materialise(mass)
+
+
+def store_rare(rare: DataFrame, words: DataFrame, mass: DataFrame, lexicon: Lexicon, end: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """(bucket, rare): the shards of the pairs; (bucket, contexts, backoffs): weights of the contexts outside the head."""
+    counts = words.union(words.sparkSession.range(1).selectExpr("0L as word", f"{end}L as count"))
+
+    def weigh(a: np.ndarray, mass: np.ndarray, count: np.ndarray) -> np.ndarray:
+        at = lexicon.lookup(a)
+        return np.where(at >= 0, lexicon.log_backoff[at], np.log10(np.maximum(1 - mass / count, 1e-12)))
+
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf["a"].to_numpy().view(np.uint64), pdf["b"].to_numpy().view(np.uint64)
+        backoff = weigh(a, pdf["mass"].to_numpy(), pdf["count"].to_numpy())
+        log_p1 = np.log10(pdf["other"].to_numpy() + ADD) - lexicon.log_total
+        p = (pdf["n"].to_numpy() - DISCOUNT) / pdf["count"].to_numpy() + 10 ** (backoff + log_p1)
+        return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "rare": [HashTrie.build(a, b, np.log10(p) - backoff - log_p1)]})
+
+    def listed(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("u")
+        a = pdf["a"].to_numpy().view(np.uint64)
+        row = [int(pdf["bucket"].iloc[0]), a.tobytes(), weigh(a, pdf["mass"].to_numpy(), pdf["count"].to_numpy()).tobytes()]
+        return pd.DataFrame([row], columns=["bucket", "contexts", "backoffs"])
+
+    def numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            a, b = pdf["a"].to_numpy().view(np.uint64), pdf["b"].to_numpy().view(np.uint64)
+            yield pdf.assign(bucket=bucket_of_rare(a, b, buckets).astype(np.int32))
+
+    def outside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            a = pdf["a"].to_numpy().view(np.uint64)
+            pdf = pdf.assign(bucket=bucket_of_word(a, buckets).astype(np.int32), u=(a >> np.uint64(1)).astype(np.int64))
+            yield pdf[lexicon.lookup(a) < 0]
+
+    full = rare.join(mass, "a").join(counts.withColumnsRenamed({"word": "b", "count": "other"}), "b").select("a", "b", "n", "mass", "count", "other")
+    full = full.mapInPandas(numbered, "a long, b long, n long, mass double, count long, other long, bucket int")
+    contexts = mass.select("a", "mass", "count").mapInPandas(outside, "a long, mass double, count long, bucket int, u long")
+    return (
+        materialise(full.groupBy("bucket").applyInPandas(shard, "bucket int, rare binary")),
+        materialise(contexts.groupBy("bucket").applyInPandas(listed, "bucket int, contexts binary, backoffs binary")),
+    )
+
+
+def set_backoff(lexicon: Lexicon, counted: DataFrame, mass: DataFrame) -> None:
+    """Backoff weights from the kept mass. To the driver come at most 17 entries for each head word."""
     kept = np.zeros(len(lexicon.counts))
     for r in counted.select("contexts", "kept").toLocalIterator():
         np.add.at(kept, np.frombuffer(bytes(r["contexts"]), "<u4"), np.frombuffer(bytes(r["kept"]), float))
+
+    def inside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            at = lexicon.lookup(pdf["a"].to_numpy().view(np.uint64))
+            yield pd.DataFrame({"id": at[at >= 0], "mass": pdf["mass"].to_numpy()[at >= 0]})
+
+    for r in mass.select("a", "mass").mapInPandas(inside, "id long, mass double").toLocalIterator():
+        kept[r["id"]] += r["mass"]
     left = 1 - kept / np.maximum(lexicon.counts, 1)
     lexicon.log_backoff = np.log10(np.maximum(left, 1e-12))
 
@@ -269,7 +403,8 @@ def build_tries(counted: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 def ask(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
-    """Packed questions of all documents: kind 0 words outside the head, 1 pairs, 2 what a block knows by itself."""
+    """Packed questions of all documents: kind 0 words outside the head, 1 pairs of the head, 2 what a block knows by itself,
+    3 other pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
@@ -297,6 +432,10 @@ def ask(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
                 key, tf = np.unique(key.astype(np.uint64) << np.uint64(16) | doc[at].astype(np.uint64), return_counts=True)
                 a = (key >> np.uint64(16)).astype("<u4")
                 rows += dealt(bucket_of_pair(a, buckets).astype(np.int64), 1, block, a, (key & np.uint64(0xFFFF)).astype("<u2"), tf.astype("<u4"))
+            a, b, at = rare_pairs(ids, h, is_end)
+            if len(a):
+                (a, b, own_doc), tf = distinct(a, b, doc[at])
+                rows += dealt(bucket_of_rare(a, b, buckets), 3, block, np.stack([a, b], axis=1), own_doc.astype("<u2"), tf.astype("<u4"))
             yield packed(rows)
 
     return docs.mapInArrow(run, PACK)
@@ -306,12 +445,17 @@ def answer(questions: DataFrame, store: DataFrame, lexicon: Lexicon) -> DataFram
     """Per block and bucket, the sums for each document; a block's own row passes through."""
 
     def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        h, n, trie = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
-        for words, counts, data in zip(held["h"], held["n"], held["trie"], strict=True):
+        h, n, trie, rare = np.zeros(0, np.uint64), np.zeros(0, np.int64), None, None
+        contexts, backoffs = np.zeros(0, np.uint64), np.zeros(0)
+        for words, counts, data, more, outside, weights in zip(*(held[c] for c in STORE), strict=True):
             if words is not None:
                 h, n = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64)
             if data is not None:
                 trie = Trie(data)
+            if more is not None:
+                rare = HashTrie(more)
+            if outside is not None:
+                contexts, backoffs = np.frombuffer(outside, np.uint64), np.frombuffer(weights, float)
         out = []
         for kind, block, a, b, c in zip(asked["kind"], asked["block"], asked["a"], asked["b"], asked["c"], strict=True):
             if kind == 2:
@@ -324,7 +468,17 @@ def answer(questions: DataFrame, store: DataFrame, lexicon: Lexicon) -> DataFram
                 count = np.where(h[at] == a, n[at], 0) if len(h) else np.zeros(len(a), np.int64)
                 base, known = tf * (np.log10(count + ADD) - lexicon.log_total), tf * (count > 0)
                 docs, which = np.unique(doc, return_inverse=True)
-                sums = [np.bincount(which, weights=x) for x in (base, known)] + [np.zeros(len(docs))]
+                # Words outside the head are never the end, so all their occurrences are contexts.
+                at = np.minimum(np.searchsorted(contexts, a), max(0, len(contexts) - 1))
+                model = tf * np.where(contexts[at] == a, backoffs[at], 0.0) if len(contexts) else np.zeros(len(a))
+                sums = [np.bincount(which, weights=x) for x in (base, known, model)]
+            elif kind == 3:
+                if rare is None:
+                    continue
+                more = tf * rare.ratios(*np.frombuffer(a, np.uint64).reshape(-1, 2).T)
+                seen = ~np.isnan(more)
+                docs, which = np.unique(doc[seen], return_inverse=True)
+                sums = [np.zeros(len(docs)), np.zeros(len(docs)), np.bincount(which, weights=more[seen], minlength=len(docs))]
             elif trie is not None:
                 key = np.frombuffer(a, "<u4").astype(np.int64)
                 log_p = trie.log_ps(key)
@@ -370,12 +524,15 @@ def scores(docs: DataFrame, folds: int = 10, head: int = HEAD) -> DataFrame:
     three = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held.alias("held"), docs["text"].cast("string").alias("text"))
     train = three.where("not held")
     vocabulary = count_words(train, buckets, head)
-    lexicon = read_lexicon(vocabulary, train.count(), head)
+    end = train.count()
+    lexicon = read_lexicon(vocabulary, end, head)
     counted = count_pairs(train, lexicon, buckets)
-    set_backoff(lexicon, counted)
-    tries = build_tries(counted, lexicon)
+    rare = count_rare_pairs(train, lexicon, buckets)
+    words, mass = rare_mass(rare, vocabulary)
+    set_backoff(lexicon, counted, mass)
+    parts = [vocabulary.select("bucket", "h", "n"), build_tries(counted, lexicon), *store_rare(rare, words, mass, lexicon, end, buckets)]
     none = F.lit(None).cast("binary")
-    store = vocabulary.select("bucket", "h", "n", none.alias("trie")).unionByName(tries.select("bucket", none.alias("h"), none.alias("n"), "trie"))
+    store = reduce(DataFrame.unionByName, [p.select("bucket", *[c if c in p.columns else none.alias(c) for c in STORE]) for p in parts])
     answers = answer(ask(three, lexicon, buckets), store, lexicon)
     result = answers.groupBy("block").applyInPandas(collect_block, RESULT)
     return result.withColumn("train_tokens", F.lit(int(lexicon.total)).cast("long"))

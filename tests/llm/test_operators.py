@@ -96,6 +96,25 @@ def test_base_score_of_language_model(docs):
         assert r.score <= 1e-9
 
 
+@pytest.mark.parametrize("head", [2, 4, 1 << 16])
+def test_pairs_count_whatever_the_head(spark, head):
+    """Scores of a bigram model over all words, in plain Python: words outside the head lose no pair and no backoff."""
+    texts = {i: f"the cat{i % 3} sat on the mat{i % 4} the end{i % 7}" for i in range(60)} | {60: "", 61: "unseen words the cat1 sat"}
+    got = {r.doc_id: r.score for r in ngram_lm.scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), head=head).collect()}
+    tokens = {i: [*t.split(), None] for i, t in texts.items()}
+    train = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10]
+    one = Counter(w for t in train for w in t)
+    two = {k: n for k, n in Counter(p for t in train for p in zip(t, t[1:])).items() if n >= 2}
+    left = {a: 1 - sum(n - 0.75 for (x, _), n in two.items() if x == a) / one[a] for a in one}
+    unigram = {w: (one[w] + 0.1) / (sum(one.values()) + 0.1 * (len(one) + 1)) for t in tokens.values() for w in t}
+    for i, t in tokens.items():
+        want = math.log10(unigram[t[0]])
+        for a, b in zip(t, t[1:]):
+            p = left.get(a, 1.0) * unigram[b] + ((two[a, b] - 0.75) / one[a] if (a, b) in two else 0)
+            want += math.log10(p)
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
 def test_personal_data_counts(docs):
     got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in pii.personal_data(docs).collect()}
     assert got == {i: (0, 0, 0, 0) for i, *_ in ROWS} | {6: (1, 1, 0, 0), 9: (0, 0, 1, 1)}
