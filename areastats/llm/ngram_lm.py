@@ -272,46 +272,50 @@ def read_lexicon(vocabulary: DataFrame, end: int, head: int) -> Lexicon:
 
 
 def count_pairs(train: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
-    """Pairs kept, by bucket: ascending keys with counts, and for each context the discounted sum of its kept pairs."""
+    """Pairs kept, by bucket: ascending keys with counts, and for each context the discounted sum of its kept pairs; of the
+    pairs with a word outside the head, hashes `a` and `b` and counts `m`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, words in blocks(batches):
-            ids, _, _, is_end = lexicon.coded(words)
+            ids, h, _, is_end = lexicon.coded(words)
+            rows = []
             key, n = np.unique(pairs(ids, is_end)[0], return_counts=True)
             if len(key):
                 a = key.astype("<u4")
-                yield packed(dealt(bucket_of_pair(a, buckets).astype(np.int64), 0, 0, a, n.astype("<u4"), np.zeros((len(a), 0), np.uint8)))
+                rows += dealt(bucket_of_pair(a, buckets).astype(np.int64), 0, 0, a, n.astype("<u4"), np.zeros((len(a), 0), np.uint8))
+            (a, b), n = distinct(*rare_pairs(ids, h, is_end)[:2])
+            if len(a):
+                rows += dealt(bucket_of_rare(a, b, buckets), 1, 0, a, b, n.astype("<u4"))
+            if rows:
+                yield packed(rows)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, which = np.unique(np.frombuffer(b"".join(pdf["a"]), "<u4"), return_inverse=True)
-        n = np.bincount(which, weights=np.frombuffer(b"".join(pdf["b"]), "<u4")).astype(np.int64)
+        head, rare = pdf[pdf["kind"] == 0], pdf[pdf["kind"] == 1]
+        key, which = np.unique(np.frombuffer(b"".join(head["a"]), "<u4"), return_inverse=True)
+        n = np.bincount(which, weights=np.frombuffer(b"".join(head["b"]), "<u4")).astype(np.int64)
         key, n = key[n >= LEAST], n[n >= LEAST]
         context, which = np.unique(key >> 16, return_inverse=True)
         kept = np.bincount(which, weights=n - DISCOUNT, minlength=len(context))
+        a, b, m = (np.frombuffer(b"".join(rare[c]), t) for c, t in zip("abc", (np.uint64, np.uint64, "<u4"), strict=True))
+        (a, b), m = distinct(a, b, weights=m)
+        often = m >= LEAST
         row = [int(pdf["bucket"].iloc[0]), key.tobytes(), n.tobytes(), context.astype("<u4").tobytes(), kept.tobytes()]
-        return pd.DataFrame([row], columns=["bucket", "keys", "n", "contexts", "kept"])
+        row += [x[often].tobytes() for x in (a, b, m)]
+        return pd.DataFrame([row], columns=["bucket", "keys", "n", "contexts", "kept", "a", "b", "m"])
 
-    schema = "bucket int, keys binary, n binary, contexts binary, kept binary"
+    schema = "bucket int, keys binary, n binary, contexts binary, kept binary, a binary, b binary, m binary"
     return materialise(train.mapInArrow(run, PACK).groupBy("bucket").applyInPandas(add, schema))
 
 
-def count_rare_pairs(train: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
-    """Pairs kept with a word outside the head, a row each: the hashes a and b and the count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, words in blocks(batches):
-            ids, h, _, is_end = lexicon.coded(words)
-            (a, b), n = distinct(*rare_pairs(ids, h, is_end)[:2])
-            if len(a):
-                yield packed(dealt(bucket_of_rare(a, b, buckets), 0, 0, a, b, n.astype("<u4")))
+def rare_rows(counted: DataFrame) -> DataFrame:
+    """The kept pairs with a word outside the head, a row each: the hashes a and b and the count."""
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, n = (np.frombuffer(b"".join(pdf[c]), t) for c, t in zip("abc", (np.uint64, np.uint64, "<u4"), strict=True))
-        (a, b), n = distinct(a, b, weights=n)
-        kept = n >= LEAST
-        return pd.DataFrame({"a": a[kept].view(np.int64), "b": b[kept].view(np.int64), "n": n[kept]})
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for own in zip(pdf["a"], pdf["b"], pdf["m"], strict=True):
+                yield pd.DataFrame(dict(zip("abn", (np.frombuffer(x, np.int64) for x in own), strict=True)))
 
-    return materialise(train.mapInArrow(run, PACK).groupBy("bucket").applyInPandas(add, "a long, b long, n long"))
+    return counted.select("a", "b", "m").mapInPandas(unpack, "a long, b long, n long")
 
 
 def rare_mass(rare: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -527,7 +531,7 @@ def scores(docs: DataFrame, folds: int = 10, head: int = HEAD) -> DataFrame:
     end = train.count()
     lexicon = read_lexicon(vocabulary, end, head)
     counted = count_pairs(train, lexicon, buckets)
-    rare = count_rare_pairs(train, lexicon, buckets)
+    rare = rare_rows(counted)
     words, mass = rare_mass(rare, vocabulary)
     set_backoff(lexicon, counted, mass)
     parts = [vocabulary.select("bucket", "h", "n"), build_tries(counted, lexicon), *store_rare(rare, words, mass, lexicon, end, buckets)]
