@@ -21,6 +21,8 @@ from areastats.session import materialise
 
 #: Pairs of cells with no more pairs of points than this are compared point by point.
 FEW = 4096
+#: Rim tiles of cells with no more places than this are compared place by place.
+FEW_SPOTS = 64
 #: Cells are halved so often at most; what is left then lies on the rim within rounding and is compared.
 DEEPEST = 24
 
@@ -37,21 +39,62 @@ def counts_within(spots: DataFrame, others: DataFrame, dim: int, cell: float, re
 
 
 def shape_counts(spots: DataFrame, others: DataFrame, dim: int, cell: float, reach: float) -> list[DataFrame]:
-    """Counts by whole tiles and on the rim. A feature has one tile in a cell and a place one cell, so no pair comes twice.
+    """Counts by whole tiles of every width and, on the rim, between places and the tiles of cells with few places.
+
+    A feature has one tile in a cell and a place one cell, so no pair comes twice. Tiles of cells without places end. A rim
+    tile of a cell with more places is split into quarters. Each width is written, and no join is broadcast: tiles are many
+    more than the rows of the file they come from.
+    """
+    tiles, out = _judged(tile(others, dim, cell, reach, ["weight"]), cell, reach), []
+    for depth in range(DEEPEST + 1):
+        placed = with_cell(spots, cell)
+        many = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("m"))
+        level = materialise(tiles.join(many.hint("merge"), ["cx", "cy"]))
+        full = level.where("whole").groupBy("cx", "cy").agg(F.sum("weight").alias("n"))
+        out.append(placed.join(full.hint("merge"), ["cx", "cy"]).select("x", "y", "n"))
+        above = level.where(f"not whole and m > {FEW_SPOTS}")
+        last = depth == DEEPEST or above.isEmpty()
+        rim = placed.join(level.where("not whole" if last else f"not whole and m <= {FEW_SPOTS}").hint("merge"), ["cx", "cy"])
+        rim = rim.where(
+            f"{g.locate('ray', 'flip', 'x', 'y')} <> 0 or exists(near, e -> {g.point_piece_sq('x', 'y', 'e')} <= {num(reach * reach)})"
+        )
+        out.append(rim.groupBy("x", "y").agg(F.sum("weight").alias("n")))
+        if last:
+            return out
+        cell /= 2
+        tiles = _judged(_quarters(above, cell, reach), cell, reach)
+    return out
+
+
+def _judged(tiles: DataFrame, cell: float, reach: float) -> DataFrame:
+    """Tiles with `whole`: all of the cell is in reach. Whole tiles need their pieces no more.
 
     The distance to a piece is largest at a corner of the cell, so four corners near one piece mean that all is.
     """
     corners = [(f"(cx + {a}) * {num(cell)}", f"(cy + {b}) * {num(cell)}") for a in (0, 1) for b in (0, 1)]
     close = " and ".join(f"{g.point_piece_sq(x, y, 'e')} <= {num(reach * reach * (1 - 1e-12))}" for x, y in corners)
-    tiles = tile(others, dim, cell, reach, ["weight"])
     keep = ["weight", "cx", "cy", "flip", "ray", "near"]
-    tiles = g.frozen(tiles, keep, {"whole": f"inside or ({num(reach)} > 0D and exists(near, e -> {close}))"})
-    placed = with_cell(spots, cell)
-    full = tiles.where("whole").groupBy("cx", "cy").agg(F.sum("weight").alias("n"))
-    rim = placed.join(tiles.where("not whole"), ["cx", "cy"]).where(
-        f"{g.locate('ray', 'flip', 'x', 'y')} <> 0 or exists(near, e -> {g.point_piece_sq('x', 'y', 'e')} <= {num(reach * reach)})"
+    judged = g.frozen(tiles, keep, {"whole": f"inside or ({num(reach)} > 0D and exists(near, e -> {close}))"})
+    bare = [f"if(whole, {g.NO_PIECES}, {c}) as {c}" for c in ("ray", "near")]
+    return judged.selectExpr("weight", "cx", "cy", "flip", *bare, "whole")
+
+
+def _quarters(tiles: DataFrame, cell: float, reach: float) -> DataFrame:
+    """The tiles of half the width, `cell`. What tells inside from outside holds for the quarters too, and of the pieces
+    near a tile those near a quarter stay; without any, a quarter lies on one side as a whole."""
+    quarter = "array(" + ", ".join(f"named_struct('a', {a}, 'b', {b})" for a in (0, 1) for b in (0, 1)) + ")"
+    each = tiles.selectExpr("weight", "cx", "cy", "flip", "ray", "near", f"explode({quarter}) as _q")
+    each = each.selectExpr("weight", "cx * 2 + _q.a as cx", "cy * 2 + _q.b as cy", "flip", "ray", "near")
+    x, y = f"((cx + 0.5D) * {num(cell)})", f"((cy + 0.5D) * {num(cell)})"
+    # Half a diagonal beyond the reach, and a little for rounding.
+    around = num((reach + cell * 0.7071068) ** 2 * (1 + 1e-9))
+    touches = " and ".join(
+        f"least(e.{c}1, e.{c}2) <= (c{c} + 1.000001D) * {num(cell)} and greatest(e.{c}1, e.{c}2) >= (c{c} - 0.000001D) * {num(cell)}" for c in "xy"
     )
-    return [placed.join(full, ["cx", "cy"]).select("x", "y", "n"), rim.groupBy("x", "y").agg(F.sum("weight").alias("n"))]
+    near = {"near": f"filter(near, e -> {g.point_piece_sq(x, y, 'e')} <= {around})", "_in": g.locate("ray", "flip", x, y)}
+    each = g.frozen(each, ["weight", "cx", "cy", "flip", "ray"], near)
+    inside = f"_in = 1 and not exists(near, e -> {touches})"
+    return each.where("size(near) > 0 or _in <> 0").selectExpr("weight", "cx", "cy", f"{inside} as inside", "flip", "ray", "near")
 
 
 def _cells(points: DataFrame, width: float, side: str) -> DataFrame:

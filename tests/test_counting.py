@@ -95,3 +95,23 @@ def test_pairs_are_not_shuffled(spark):
     plan = counting.counts_within(left, right, g.POINT_DIM, 3.0, 3.0)._jdf.queryExecution().executedPlan().toString()
     grouped = re.findall(r"Aggregate\(keys?=\[([^\]]*)\]", plan)
     assert grouped and not any("_x#" in keys for keys in grouped)
+
+
+@pytest.mark.parametrize("reach", [0.0, 3.0])
+def test_split_rim_tiles_equal_plain_python(spark, reach, monkeypatch):
+    """Crowded places: tiles on the rim are split several times, and nothing is broadcast."""
+    monkeypatch.setattr(counting, "FEW_SPOTS", 1)
+    monkeypatch.setattr(counting, "DEEPEST", 6)
+    rnd = random.Random(5)
+    spots = [(rnd.randint(-40, 40) / 4, rnd.randint(-40, 40) / 4) for _ in range(400)]
+    squares = [(rnd.randint(1, 3), rnd.randint(-20, 16) / 2, rnd.randint(-20, 16) / 2, rnd.randint(1, 6)) for _ in range(30)]
+    want = {}
+    for x, y in set(spots):
+        n = sum(w for w, a, b, s in squares if max(a - x, x - a - s, 0) ** 2 + max(b - y, y - b - s, 0) ** 2 <= reach * reach)
+        if n:
+            want[x, y] = n
+    assert counted(spark, spots, [(w, box(a, b, s)) for w, a, b, s in squares], g.POLYGON_DIM, 4.0, reach) == want
+    left = spark.createDataFrame(spots, "x double, y double")
+    right = spark.createDataFrame([(w, box(a, b, s)) for w, a, b, s in squares], f"weight long, rings {g.RINGS_TYPE}")
+    parts = counting.shape_counts(left.distinct(), right, g.POLYGON_DIM, 4.0, reach)
+    assert len(parts) > 4 and not any("Broadcast" in p._jdf.queryExecution().executedPlan().toString() for p in parts)
