@@ -25,13 +25,15 @@ def area_tiles(areas: DataFrame, cell: float, reach: float = 0.0) -> DataFrame:
     return tile(areas, g.POLYGON_DIM, cell, reach, AREA_KEYS)
 
 
-def within(points: DataFrame, tiles: DataFrame, cell: float, boundary: bool = False) -> DataFrame:
+def within(points: DataFrame, tiles: DataFrame, cell: float, boundary: bool = False, many: bool = False) -> DataFrame:
     """Each point with every polygon that contains it; the boundary belongs to it only with `boundary=True`.
 
-    One equi-join on the cell, no aggregate: a point lies in one cell only, so pairs come out once.
+    One equi-join on the cell, no aggregate: a point lies in one cell only, so pairs come out once. With `many` the polygons
+    are a layer of any size, not a few areas, and their tiles are not broadcast.
     """
     spot = g.locate("ray", "flip", "x", "y")
-    joined = with_cell(points, cell).join(tiles.drop("near"), ["cx", "cy"])
+    shapes = tiles.drop("near")
+    joined = with_cell(points, cell).join(shapes.hint("merge") if many else shapes, ["cx", "cy"])
     hit = joined.where(f"inside or {spot} {'<> 0' if boundary else '= 1'}")
     return hit.drop("cx", "cy", "inside", "flip", "ray")
 

@@ -6,7 +6,9 @@ pieces at most `reach` away from the cell. A spatial join is then an equi-join o
 that is wholly inside and need no geometry at all.
 
 A crowded cell is a hot join key. The feature side is the large one and adaptive execution splits its hot partitions;
-where the tiles are small they are broadcast from their measured size and the features do not move at all.
+the tiles of a few areas are broadcast and the features do not move at all. Spark estimates tiles by the file they come from,
+which says little of their number, so a join with the tiles of a layer of any size asks for a shuffle (`within(many=True)`).
+Shapes are dealt evenly over the tasks first, since a small file of them, read by one task, makes many tiles.
 """
 
 from __future__ import annotations
@@ -34,6 +36,11 @@ def _bare(pieces: str) -> str:
     return f"transform({pieces}, e -> {g.piece('e.x1', 'e.y1', 'e.x2', 'e.y2')})"
 
 
+def dealt(features: DataFrame) -> DataFrame:
+    """The rows spread evenly over all cores, however few files or partitions they come from."""
+    return features.repartition(4 * features.sparkSession.sparkContext.defaultParallelism)
+
+
 def tile(features: DataFrame, dim: int, cell: float, reach: float = 0.0, keep: list[str] | None = None) -> DataFrame:
     """One row per feature and cell it touches, covers, or comes within `reach` of."""
     if keep is None:
@@ -47,7 +54,7 @@ def tile(features: DataFrame, dim: int, cell: float, reach: float = 0.0, keep: l
     y0, y1 = f"(cy * {num(cell)})", f"((cy + 1) * {num(cell)})"
     x0, x1 = f"(cx * {num(cell)})", f"((cx + 1) * {num(cell)})"
 
-    shaped = g.frozen(features, keys, {"_e": g.pieces(dim)})
+    shaped = g.frozen(dealt(features), keys, {"_e": g.pieces(dim)})
     lowest = cell_sql(f"array_min(transform(_e, e -> {low})) - {r}", cell)
     highest = cell_sql(f"array_max(transform(_e, e -> {high})) + {r}", cell)
     rows = shaped.selectExpr(*keys, "_e", f"explode(sequence({lowest}, {highest})) as cy")

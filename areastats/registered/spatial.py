@@ -65,7 +65,7 @@ def within_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapes = supplier_diamonds(spark, sf_dir)
     tiles = sp.tile(shapes.drop("s_suppkey"), g.POLYGON_DIM, 10000.0)
     points = customer_points(spark, sf_dir, sheet=True).select("x", "y")
-    found = sp.within(points, tiles, 10000.0).groupBy("geoid10").agg(F.count(F.lit(1)).alias("n"))
+    found = sp.within(points, tiles, 10000.0, many=True).groupBy("geoid10").agg(F.count(F.lit(1)).alias("n"))
     return found.select(F.col("geoid10").cast("long").alias("s_suppkey"), "n")
 
 

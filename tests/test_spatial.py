@@ -293,3 +293,15 @@ def test_clipped_layer_keeps_its_attributes(spark, shapes):
     lines = spark.createDataFrame(rows, f"feature_id int, name string, rings {g.RINGS_TYPE}")
     found = clip_lines(lines, shapes.where("geoid10 = 'A'"), 3.0).collect()
     assert [(r.feature_id, r.name, [tuple(v) for v in r.rings[0].pts]) for r in found] == [(1, "road", [(0.0, 2.0), (5.0, 2.0)])]
+
+
+def test_layers_of_any_size_are_dealt_and_not_broadcast(spark):
+    """A small file of polygons makes many tiles: they are made in many tasks, and `many` keeps them out of the driver."""
+    ring = "array(named_struct('part', 0, 'hole', false, 'pts', array(named_struct('x', id * 1D, 'y', 0D), named_struct('x', id + 9D, 'y', 0D), named_struct('x', id + 9D, 'y', 9D))))"
+    shapes = spark.range(20).coalesce(1).selectExpr("'g' as geography", "string(id) as geoid10", f"{ring} as rings")
+    tiles = sp.area_tiles(shapes, 2.0)
+    assert tiles.rdd.getNumPartitions() > 1
+    points = spark.range(20).selectExpr("id + 5.5D as x", "1.25D as y")
+    few, many = (sp.within(points, tiles, 2.0, many=m) for m in (False, True))
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) != []
