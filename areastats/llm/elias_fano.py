@@ -85,7 +85,9 @@ class EliasFano:
         ones = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
         high = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low)
         bits = np.unpackbits(self.lows, bitorder="little", count=self.n * self.low).reshape(self.n, self.low)
-        return high | (bits.astype(np.uint64) << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        for i in range(self.low):
+            high |= bits[:, i].astype(np.uint64) << np.uint64(i)
+        return high
 
     def successor(self, x: int, begin: int = 0, end: int | None = None) -> int:
         """Index of the first value in [begin, end) not below x, by binary search over select; `end` if there is none."""

@@ -17,13 +17,15 @@ a word have shards of their own, by hashes in place of ids, so every pair seen o
 from __future__ import annotations
 
 import struct
-from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -54,22 +56,41 @@ def bucket_of_pair(key: np.ndarray, buckets: int) -> np.ndarray:
     return (place * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(buckets)
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[list[bytes]]]]:
-    """(ids, held-out flags, words of each text) of bounded runs of documents; a longer text is a block of its own."""
-    ids, held, words, size = [], [], [], 0
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, pa.Array]]:
+    """(ids, held-out flags, texts) of bounded runs of documents; a longer text is a block of its own."""
+    kept, docs, size = [], 0, 0
+
+    def block() -> tuple[list, list, pa.Array]:
+        ids, held, texts = (pa.concat_arrays([b.column(c) for b in kept]) for c in range(3))
+        return ids.to_pylist(), held.to_pylist(), texts
+
     for batch in batches:
-        texts = batch.column(2).cast(pa.binary())
-        for d, h, t in zip(batch.column(0), batch.column(1), texts, strict=True):
-            text = t.as_py() or b""
-            if ids and (len(ids) >= BLOCK_DOCS or size + len(text) > BLOCK_BYTES):
-                yield ids, held, words
-                ids, held, words, size = [], [], [], 0
-            ids.append(d.as_py())
-            held.append(h.as_py())
-            words.append(text.lower().split())
-            size += len(text)
-    if ids:
-        yield ids, held, words
+        first = 0
+        for i, own in enumerate(pc.binary_length(batch.column(2)).fill_null(0).to_pylist()):
+            if docs and (docs >= BLOCK_DOCS or size + own > BLOCK_BYTES):
+                kept.append(batch.slice(first, i - first))
+                yield block()
+                kept, docs, size, first = [], 0, 0, i
+            docs += 1
+            size += own
+        kept.append(batch.slice(first))
+    if docs:
+        yield block()
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lower-cased words of some texts, with the number of the word and the document of every occurrence.
+
+    White space at the ends leaves empty pieces; these occur nowhere, though the empty word may be among the words.
+    """
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded = pieces.flatten().dictionary_encode()
+    code, doc = coded.indices.to_numpy(), np.repeat(np.arange(len(texts), dtype=np.int32), pieces.value_lengths().to_numpy())
+    blank = pc.index(coded.dictionary, "").as_py()
+    if blank >= 0:
+        real = code != blank
+        code, doc = code[real], doc[real]
+    return coded.dictionary, code, doc
 
 
 def packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -80,7 +101,8 @@ def packed(rows: list[tuple]) -> pa.RecordBatch:
 
 def dealt(bucket: np.ndarray, kind: int, block: int, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[tuple]:
     """One row for each bucket that has entries."""
-    order = np.argsort(bucket, kind="stable")
+    # Numbers of 16 bits are sorted by radix.
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     out = []
     for x, y in zip(edges, edges[1:], strict=False):
@@ -89,8 +111,13 @@ def dealt(bucket: np.ndarray, kind: int, block: int, a: np.ndarray, b: np.ndarra
     return out
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """XXH64 of the words of a dictionary, straight from its buffers."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    data = data.to_pybytes() if data is not None else b""
+    return np.fromiter((xxhash.xxh64_intdigest(data[i:j]) for i, j in pairwise(ends)), dtype=np.uint64, count=len(words))
 
 
 class Trie:
@@ -130,10 +157,15 @@ class Trie:
             return None
         return float(self.book[self.codes[at]])
 
+    @cached_property
+    def _lists(self) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts and successors, decoded once for all bulk queries."""
+        return self.contexts.all().astype(np.int64), self.successors.all().astype(np.int64)
+
     def log_ps(self, keys: np.ndarray) -> np.ndarray:
         """Of many pairs; NaN where a pair is not kept."""
         out = np.full(len(keys), np.nan)
-        contexts, successors = self.contexts.all().astype(np.int64), self.successors.all().astype(np.int64)
+        contexts, successors = self._lists
         if not len(successors):
             return out
         r = np.searchsorted(contexts, keys >> self.bits)
@@ -192,20 +224,31 @@ class Lexicon:
         at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
         return np.where(self.sorted[at] == h, self.ids[at], -1)
 
-    def coded(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(head id or -1, hash, document, is end) of every token of a block, ends included."""
-        place: dict[bytes, int] = {}
-        flat = np.fromiter((place.setdefault(w, len(place)) for own in words for w in own), dtype=np.int64)
-        h = word_hashes(list(place))
-        ids = self.lookup(h)
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        doc = np.repeat(np.arange(len(words)), sizes + 1)
-        ends = np.cumsum(sizes + 1) - 1
-        inside = np.ones(len(doc), dtype=bool)
-        inside[ends] = False
-        out_id, out_h = np.full(len(doc), END, dtype=np.int64), np.zeros(len(doc), dtype=np.uint64)
-        out_id[inside], out_h[inside] = ids[flat], h[flat]
-        return out_id, out_h, doc, ~inside
+    def coded(self, texts: pa.Array) -> Coded:
+        """Every token of a block, ends included."""
+        words, code, own = tokens_of(texts)
+        h = word_hashes(words)
+        order = np.argsort(h)
+        hashes, rank_of = np.append(np.uint64(0), h[order]), np.empty(len(h), dtype=np.int32)
+        rank_of[order] = np.arange(1, len(h) + 1)
+        id_of = self.lookup(hashes)
+        sizes = np.bincount(own, minlength=len(texts))
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
+        is_end = np.zeros(len(doc), dtype=bool)
+        is_end[np.cumsum(sizes + 1) - 1] = True
+        rank = np.zeros(len(doc), dtype=np.int32)
+        rank[~is_end] = rank_of[code]
+        return Coded(np.where(is_end, END, id_of[rank]), rank, hashes, doc, is_end)
+
+
+class Coded(NamedTuple):
+    """The tokens of a block: head id or -1, place of the hash in `hashes` (ascending; the end has hash 0), document, is end."""
+
+    ids: np.ndarray
+    rank: np.ndarray
+    hashes: np.ndarray
+    doc: np.ndarray
+    is_end: np.ndarray
 
 
 def pairs(ids: np.ndarray, is_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,10 +257,21 @@ def pairs(ids: np.ndarray, is_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[at] << 16 | ids[at + 1], at
 
 
-def rare_pairs(ids: np.ndarray, h: np.ndarray, is_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of neighbours in one text of which one is outside the head (the end has hash 0), and the contexts' positions."""
-    at = np.flatnonzero(~is_end[:-1] & ((ids[:-1] < 0) | (ids[1:] < 0))) if len(ids) else np.zeros(0, np.int64)
-    return h[at], h[at + 1], at
+def rare_pairs(coded: Coded, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, by hashes, of neighbours in one text of which one is outside the head, with document and number of
+    occurrences. With `docs` 1, of the whole block.
+
+    Places and document go into one key of 64 bits: a block has few documents or, with a longer text, one.
+    """
+    ids, words = coded.ids, np.uint64(len(coded.hashes))
+    at = np.flatnonzero(~coded.is_end[:-1] & ((ids[:-1] < 0) | (ids[1:] < 0))) if len(ids) else np.zeros(0, np.int64)
+    key = coded.rank[at].astype(np.uint64) * words + coded.rank[at + 1].astype(np.uint64)
+    if docs > 1:
+        key = key * np.uint64(docs) + coded.doc[at].astype(np.uint64)
+    key, n = np.unique(key, return_counts=True)
+    key, doc = np.divmod(key, np.uint64(docs))
+    a, b = np.divmod(key, words)
+    return coded.hashes[a], coded.hashes[b], doc, n
 
 
 def distinct(*keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -240,13 +294,11 @@ def count_words(train: DataFrame, buckets: int, head: int) -> DataFrame:
     """Exact counts of all training words: a row for each bucket of hashes, ascending, with its share of the head."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, words in blocks(batches):
-            seen: Counter[bytes] = Counter()
-            for own in words:
-                seen.update(own)
-            if seen:
-                h = word_hashes(list(seen))
-                n = np.fromiter(seen.values(), dtype="<u4", count=len(seen))
+        for _, _, texts in blocks(batches):
+            words, code, _ = tokens_of(texts)
+            n = np.bincount(code, minlength=len(words)).astype("<u4")
+            if n.any():
+                h, n = word_hashes(words)[n > 0], n[n > 0]
                 yield packed(dealt(bucket_of_word(h, buckets).astype(np.int64), 0, 0, h, n, np.zeros((len(h), 0), np.uint8)))
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -276,14 +328,14 @@ def count_pairs(train: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
     pairs with a word outside the head, hashes `a` and `b` and counts `m`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, words in blocks(batches):
-            ids, h, _, is_end = lexicon.coded(words)
+        for _, _, texts in blocks(batches):
+            coded = lexicon.coded(texts)
             rows = []
-            key, n = np.unique(pairs(ids, is_end)[0], return_counts=True)
+            key, n = np.unique(pairs(coded.ids, coded.is_end)[0], return_counts=True)
             if len(key):
                 a = key.astype("<u4")
                 rows += dealt(bucket_of_pair(a, buckets).astype(np.int64), 0, 0, a, n.astype("<u4"), np.zeros((len(a), 0), np.uint8))
-            (a, b), n = distinct(*rare_pairs(ids, h, is_end)[:2])
+            a, b, _, n = rare_pairs(coded, 1)
             if len(a):
                 rows += dealt(bucket_of_rare(a, b, buckets), 1, 0, a, b, n.astype("<u4"))
             if rows:
@@ -412,10 +464,10 @@ def ask(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
-        for doc_ids, held, words in blocks(batches):
+        for doc_ids, held, texts in blocks(batches):
             block, number = TaskContext.get().partitionId() << 32 | number, number + 1
-            ids, h, doc, is_end = lexicon.coded(words)
-            n = len(words)
+            coded, n = lexicon.coded(texts), len(texts)
+            ids, doc, is_end = coded.ids, coded.doc, coded.is_end
             in_head = ids >= 0
             base = np.bincount(doc[in_head], weights=lexicon.log_p1[ids[in_head]], minlength=n)
             known = np.bincount(doc[in_head], weights=lexicon.counts[ids[in_head]] > 0, minlength=n)
@@ -427,24 +479,28 @@ def ask(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
             rows = [(block % buckets, 2, block, b"".join(x.tobytes() for x in head), b"".join(x.tobytes() for x in (base, known, backoff)), tokens.tobytes())]
             rare = ~in_head
             if rare.any():
-                hashes, which = np.unique(h[rare], return_inverse=True)
-                key, tf = np.unique(which.astype(np.uint64) << np.uint64(16) | doc[rare].astype(np.uint64), return_counts=True)
-                a = hashes[(key >> np.uint64(16)).astype(np.int64)]
-                rows += dealt(bucket_of_word(a, buckets).astype(np.int64), 0, block, a, (key & np.uint64(0xFFFF)).astype("<u2"), tf.astype("<u4"))
+                key, tf = np.unique(coded.rank[rare].astype(np.int64) << 16 | doc[rare], return_counts=True)
+                a = coded.hashes[key >> 16]
+                rows += dealt(bucket_of_word(a, buckets).astype(np.int64), 0, block, a, (key & 0xFFFF).astype("<u2"), tf.astype("<u4"))
             key, at = pairs(ids, is_end)
             if len(key):
                 key, tf = np.unique(key.astype(np.uint64) << np.uint64(16) | doc[at].astype(np.uint64), return_counts=True)
                 a = (key >> np.uint64(16)).astype("<u4")
                 rows += dealt(bucket_of_pair(a, buckets).astype(np.int64), 1, block, a, (key & np.uint64(0xFFFF)).astype("<u2"), tf.astype("<u4"))
-            a, b, at = rare_pairs(ids, h, is_end)
+            a, b, own_doc, tf = rare_pairs(coded, n)
             if len(a):
-                (a, b, own_doc), tf = distinct(a, b, doc[at])
                 rows += dealt(bucket_of_rare(a, b, buckets), 3, block, np.stack([a, b], axis=1), own_doc.astype("<u2"), tf.astype("<u4"))
             yield packed(rows)
 
     return docs.mapInArrow(run, PACK)
 
 
+def by_document(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The documents of a block that occur in `doc`, ascending, and the sums of each column of values for them."""
+    docs = np.flatnonzero(np.bincount(doc))
+    return docs, [np.bincount(doc, weights=v)[docs] for v in values]
+
+
 def answer(questions: DataFrame, store: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Per block and bucket, the sums for each document; a block's own row passes through."""
 
@@ -471,25 +527,24 @@ def answer(questions: DataFrame, store: DataFrame, lexicon: Lexicon) -> DataFram
                 at = np.minimum(np.searchsorted(h, a), max(0, len(h) - 1))
                 count = np.where(h[at] == a, n[at], 0) if len(h) else np.zeros(len(a), np.int64)
                 base, known = tf * (np.log10(count + ADD) - lexicon.log_total), tf * (count > 0)
-                docs, which = np.unique(doc, return_inverse=True)
                 # Words outside the head are never the end, so all their occurrences are contexts.
                 at = np.minimum(np.searchsorted(contexts, a), max(0, len(contexts) - 1))
                 model = tf * np.where(contexts[at] == a, backoffs[at], 0.0) if len(contexts) else np.zeros(len(a))
-                sums = [np.bincount(which, weights=x) for x in (base, known, model)]
+                docs, sums = by_document(doc, base, known, model)
             elif kind == 3:
                 if rare is None:
                     continue
                 more = tf * rare.ratios(*np.frombuffer(a, np.uint64).reshape(-1, 2).T)
                 seen = ~np.isnan(more)
-                docs, which = np.unique(doc[seen], return_inverse=True)
-                sums = [np.zeros(len(docs)), np.zeros(len(docs)), np.bincount(which, weights=more[seen], minlength=len(docs))]
+                docs, (more,) = by_document(doc[seen], more[seen])
+                sums = [np.zeros(len(docs)), np.zeros(len(docs)), more]
             elif trie is not None:
                 key = np.frombuffer(a, "<u4").astype(np.int64)
                 log_p = trie.log_ps(key)
                 seen = ~np.isnan(log_p)
                 more = tf[seen] * (log_p[seen] - lexicon.log_backoff[key[seen] >> 16] - lexicon.log_p1[key[seen] & 0xFFFF])
-                docs, which = np.unique(doc[seen], return_inverse=True)
-                sums = [np.zeros(len(docs)), np.zeros(len(docs)), np.bincount(which, weights=more, minlength=len(docs))]
+                docs, (more,) = by_document(doc[seen], more)
+                sums = [np.zeros(len(docs)), np.zeros(len(docs)), more]
             else:
                 continue
             out.append((block, kind, docs.astype("<u2").tobytes(), *(x.tobytes() for x in sums)))

@@ -156,3 +156,35 @@ def test_token_files_equal_the_tokenizer(docs):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
         assert got[i] == (start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
         start += len(ids)
+
+
+def test_shards_decode_once(monkeypatch):
+    """Bulk queries of many blocks read a shard's lists once, not again for every block."""
+    import numpy as np
+
+    from areastats.llm.elias_fano import EliasFano
+
+    keys = np.array([1 << 16 | 2, 1 << 16 | 7, 5 << 16 | 1], dtype=np.int64)
+    trie, decoded, whole = ngram_lm.Trie(ngram_lm.Trie.build(keys, np.log10([0.5, 0.25, 0.125]))), [], EliasFano.all
+    monkeypatch.setattr(EliasFano, "all", lambda own: decoded.append(own) or whole(own))
+    for _ in range(20):
+        assert trie.log_ps(keys) == pytest.approx(np.log10([0.5, 0.25, 0.125]))
+        assert np.isnan(trie.log_ps(keys + 1)).all()
+    assert len(decoded) == 2
+
+
+def test_words_of_blocks_equal_plain_python(monkeypatch):
+    """White space of every kind, ends and other control characters, over batches and blocks of a few documents."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_lm, "BLOCK_DOCS", 3)
+    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 40)
+    texts = ["", None, " a  B ", "\x0b\x0ca\t\nb\r", "a\x1cb a\x85b a\xa0b İx", " ", "word " * 20, "a"] * 3
+    rows = pa.table({"d": range(len(texts)), "h": [False] * len(texts), "t": pa.array(texts, pa.string())})
+    got = []
+    for ids, _, own in ngram_lm.blocks(iter(rows.to_batches(5))):
+        words, code, doc = ngram_lm.tokens_of(own)
+        said = words.to_pylist()
+        assert len(ids) <= 3 and (ngram_lm.word_hashes(words) == [ngram_lm.xxhash.xxh64_intdigest(w.encode()) for w in said]).all()
+        got += [[said[c].encode() for c, d in zip(code, doc) if d == i] for i in range(len(ids))]
+    assert got == [(t or "").encode().lower().split() for t in texts]
