@@ -2,15 +2,21 @@
 
 Points are counted by pairs of grid cells. Where all of one cell is within reach of all of the other, the cell's weight is
 added once for the whole cell; where nothing is, the pair ends; only a pair of cells across the rim goes on, to the pairs of
-its quarters, and few enough points are compared one by one. The work thus grows with the length of the rim, not with the
-number of pairs, and nothing is shuffled by pair. Lines and polygons are tiled with their reach: a tile that is wholly in
+its quarters, and few enough points are compared one by one. Once the features of a cell are a bounded number, its pairs end
+too: the features lie in strips, ascending in x with running weights, so a place takes what is surely within reach from two
+searches in each strip and compares only the little that the strip's height leaves open. The work thus grows with the length
+of the rim, not with the number of pairs, and nothing is shuffled by pair. Lines and polygons are tiled with their reach: a tile that is wholly in
 reach adds its weight to its cell, and only places in tiles on the rim are compared.
 """
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +25,15 @@ from areastats.functions.geometry import num
 from areastats.operators.tiles import tile, with_cell
 from areastats.session import materialise
 
+# Functions sent to executors travel whole, so that executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Pairs of cells with no more pairs of points than this are compared point by point.
 FEW = 4096
+#: Rim cells with no more places of features than this are not split but cut into strips.
+MANY = 1 << 16
+#: A group has about so many places to be counted, and so many are counted at once.
+PLACES, AT_ONCE = 1 << 17, 1 << 12
 #: Rim tiles of cells with no more places than this are compared place by place.
 FEW_SPOTS = 64
 #: Cells are halved so often at most; what is left then lies on the rim within rounding and is compared.
@@ -131,28 +144,104 @@ def cell_pairs(left: DataFrame, right: DataFrame, width: float, reach: float, ab
 
 
 def point_counts(spots: DataFrame, others: DataFrame, cell: float, reach: float) -> list[DataFrame]:
-    """Counts by whole cells of every width, and between points of the cells that were compared.
+    """Counts by whole cells of every width, between points of the cells that were compared, and by strips of rim cells.
 
-    A width's pairs are written, so a lost executor repeats one width only; widths go on while some pair is on the rim.
+    A width's pairs are written, so a lost executor repeats one width only; widths go on while the features of some rim pair
+    are too many for strips.
     """
     finite = "abs(x) < double('infinity') and abs(y) < double('infinity')"
-    left = spots.where(finite).withColumn("weight", F.lit(1).cast("long"))
-    right = others.where(finite).groupBy("x", "y").agg(F.sum("weight").alias("weight"))
+    left = materialise(spots.where(finite).withColumn("weight", F.lit(1).cast("long")))
+    right = materialise(others.where(finite).groupBy("x", "y").agg(F.sum("weight").alias("weight")))
     width = reach * (1 + 1e-9) if reach > 0 else cell
     out, above = [], None
     for depth in range(DEEPEST + 1):
         pairs = cell_pairs(left, right, width, reach, above)
-        above = pairs.where("state = 'rim'")
+        above = pairs.where(f"state = 'rim' and r_m > {MANY}")
         last = depth == DEEPEST or above.isEmpty()
         spot = with_cell(left, width).select(F.col("cx").alias("l_cx"), F.col("cy").alias("l_cy"), "x", "y")
         whole = pairs.where("state = 'whole'").groupBy("l_cx", "l_cy").agg(F.sum("r_w").alias("n"))
         out.append(spot.join(whole, ["l_cx", "l_cy"]).select("x", "y", "n"))
-        near = pairs.where("state <> 'whole'" if last else "state = 'few'").select("l_cx", "l_cy", "r_cx", "r_cy")
+        near = pairs.where(f"state = 'few' or state = 'rim' and r_m > {MANY}" if last else "state = 'few'").select("l_cx", "l_cy", "r_cx", "r_cy")
         other = with_cell(right, width).selectExpr("cx as r_cx", "cy as r_cy", "x as _x", "y as _y", "weight")
         met = near.join(spot, ["l_cx", "l_cy"]).join(other, ["r_cx", "r_cy"])
         met = met.where(f"pow(x - _x, 2) + pow(y - _y, 2) <= {num(reach * reach)}")
         out.append(met.groupBy("x", "y").agg(F.sum("weight").alias("n")))
+        out.append(strip_counts(pairs.where(f"state = 'rim' and r_m <= {MANY}"), spot, other, reach))
         if last:
             return out
         width /= 2
     return out
+
+
+def strip_counts(pairs: DataFrame, spot: DataFrame, other: DataFrame, reach: float) -> DataFrame:
+    """Counts of the places of rim pairs, a group for each cell of features, or several where very many places meet it."""
+    right = ["r_cx", "r_cy"]
+    shares = pairs.groupBy(*right).agg(F.expr(f"int(ceil(sum(l_m) / {PLACES}))").alias("shares"))
+    places = pairs.select("l_cx", "l_cy", *right).join(spot, ["l_cx", "l_cy"]).join(shares, right)
+    places = places.selectExpr(*right, "int(pmod(xxhash64(x, y), shares)) as share", "double(x) as x", "double(y) as y")
+    features = other.join(shares, right).withColumn("share", F.expr("explode(sequence(0, shares - 1))"))
+    features = features.selectExpr(*right, "share", "double(_x) as _x", "double(_y) as _y", "weight")
+
+    def count(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
+        x, y = lhs["x"].to_numpy(), lhs["y"].to_numpy()
+        n, hits = by_strips(x, y, rhs["_x"].to_numpy(), rhs["_y"].to_numpy(), rhs["weight"].fillna(0).to_numpy(), reach)
+        return pd.DataFrame({"x": x, "y": y, "n": n})[hits > 0]
+
+    keys = [*right, "share"]
+    kind = other.schema["weight"].dataType.simpleString()
+    counted = places.groupBy(*keys).cogroup(features.groupBy(*keys)).applyInPandas(count, f"x double, y double, n {kind}")
+    return counted.groupBy("x", "y").agg(F.sum("n").alias("n"))
+
+
+def by_strips(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """For places (x, y), the weight and number of the features at (a, b) within reach.
+
+    Strips hold equally many features, about as many strips as balance searches with comparisons. What lies nearer to the rim
+    than rounding can shift is compared with the rounding of two points.
+    """
+    n, hits = np.zeros(len(x), dtype=weight.dtype), np.zeros(len(x), dtype=np.int64)
+    order = np.argsort(b, kind="stable")
+    for own in np.array_split(order, max(1, int((len(a) / 16) ** 0.5))) if len(a) else []:
+        own = own[np.argsort(a[own], kind="stable")]
+        strip = a[own], b[own], weight[own]
+        for at in range(0, len(x), AT_ONCE):
+            part = slice(at, at + AT_ONCE)
+            more, met = _in_strip(x[part], y[part], *strip, reach)
+            n[part] += more
+            hits[part] += met
+    return n, hits
+
+
+def _in_strip(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    low, high, square = b.min(), b.max(), reach * reach
+    near = np.maximum(np.maximum(low - y, y - high), 0.0) ** 2
+    far = np.maximum(np.abs(y - low), np.abs(y - high)) ** 2
+    slack = (np.abs(x) + reach) * 1e-14
+    outer = square * (1 + 1e-12) - near * (1 - 1e-12)
+    inner = square * (1 - 1e-12) - far * (1 + 1e-12)
+    meets = outer >= 0
+    outer = np.sqrt(np.maximum(outer, 0.0)) * (1 + 1e-12) + slack
+    inner = np.sqrt(np.maximum(inner, 0.0)) * (1 - 1e-12) - slack
+    # Of each place: first in reach, first and last surely in reach, last in reach.
+    first, last = np.searchsorted(a, x - outer, "left"), np.searchsorted(a, x + outer, "right")
+    last = np.where(meets, last, first)
+    sure = meets & (inner > 0)
+    begin = np.where(sure, np.searchsorted(a, x - inner, "left"), last)
+    end = np.where(sure, np.searchsorted(a, x + inner, "right"), last)
+    sums = _running(weight)
+    n, hits = sums[end] - sums[begin], end - begin
+    starts, sizes = np.concatenate([first, end]), np.concatenate([begin - first, last - end])
+    stops = np.cumsum(sizes)
+    at = np.repeat(starts - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)
+    who = np.repeat(np.tile(np.arange(len(x)), 2), sizes)
+    within = (x[who] - a[at]) ** 2 + (y[who] - b[at]) ** 2 <= square
+    for total, values in ((n, np.where(within, weight[at], weight.dtype.type(0))), (hits, within)):
+        sums = _running(values)
+        total += (sums[stops] - sums[stops - sizes]).reshape(2, -1).sum(axis=0).astype(total.dtype)
+    return n, hits
+
+
+def _running(values: np.ndarray) -> np.ndarray:
+    """Sums of the first 0, 1, 2, ... values."""
+    values = values.astype(np.int64) if values.dtype == bool else values
+    return np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])

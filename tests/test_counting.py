@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,42 @@ def test_split_rim_tiles_equal_plain_python(spark, reach, monkeypatch):
     right = spark.createDataFrame([(w, box(a, b, s)) for w, a, b, s in squares], f"weight long, rings {g.RINGS_TYPE}")
     parts = counting.shape_counts(left.distinct(), right, g.POLYGON_DIM, 4.0, reach)
     assert len(parts) > 4 and not any("Broadcast" in p._jdf.queryExecution().executedPlan().toString() for p in parts)
+
+
+@pytest.mark.parametrize("reach", [0.0, 1.0, 7.5, 400.0])
+@pytest.mark.parametrize("many", [0, 3, 40])
+def test_strips_equal_plain_python(spark, reach, many, monkeypatch):
+    """Rim cells with few features are cut into strips, others split; with many distances of exactly the reach."""
+    monkeypatch.setattr(counting, "FEW", 2)
+    monkeypatch.setattr(counting, "MANY", many)
+    monkeypatch.setattr(counting, "PLACES", 7)
+    monkeypatch.setattr(counting, "AT_ONCE", 5)
+    monkeypatch.setattr(counting, "DEEPEST", 5)
+    rnd = random.Random(3)
+    spots = [(rnd.randint(-12, 12) / 2, rnd.randint(-12, 12) / 2) for _ in range(150)] + [(300.25, -100.5), (1e7, 1e7)]
+    others = [(rnd.randint(1, 3), rnd.randint(-12, 12) / 2, rnd.randint(-12, 12) / 2) for _ in range(150)] + [(5, 300.25, -100.5)] * 2
+    assert counted(spark, spots, others, g.POINT_DIM, 3.0, reach) == plain(spots, others, reach)
+
+
+@pytest.mark.parametrize("reach", [0.0, 0.1, 0.7, 5.0])
+def test_by_strips_compares_as_two_points_are(reach):
+    """Any places, with features on the rim within rounding."""
+    rnd = np.random.default_rng(4)
+    x, y, a, b = (rnd.random(n) + 1e6 for n in (60, 60, 900, 900))
+    turn = rnd.random(300) * 7
+    a[:300], b[:300] = x[:60].repeat(5) + reach * np.cos(turn), y[:60].repeat(5) + reach * np.sin(turn)
+    weight = rnd.integers(1, 9, 900)
+    near = (x[:, None] - a) ** 2 + (y[:, None] - b) ** 2 <= reach * reach
+    n, hits = counting.by_strips(x, y, a, b, weight, reach)
+    assert (n == (near * weight).sum(axis=1)).all() and (hits == near.sum(axis=1)).all()
+
+
+def test_rim_cells_are_not_split_without_end(spark, monkeypatch):
+    """Crowds across the rim: cells of a bounded number of features end at once, whatever the number of pairs."""
+    widths, made = [], counting.cell_pairs
+    monkeypatch.setattr(counting, "cell_pairs", lambda *a: widths.append(a[2]) or made(*a))
+    rnd = random.Random(6)
+    spots = list({(rnd.random() * 100, rnd.random() * 100) for _ in range(1_000)})
+    others = [(1, rnd.random() * 100, rnd.random() * 100) for _ in range(1_000)]
+    assert counted(spark, spots, others, g.POINT_DIM, 90.0, 90.0) == plain(spots, others, 90.0)
+    assert len(widths) == 1
