@@ -6,23 +6,28 @@ its quarters, and few enough points are compared one by one. Once the features o
 too: the features lie in strips, ascending in x with running weights, so a place takes what is surely within reach from two
 searches in each strip and compares only the little that the strip's height leaves open. The work thus grows with the length
 of the rim, not with the number of pairs, and nothing is shuffled by pair. Lines and polygons are tiled with their reach: a tile that is wholly in
-reach adds its weight to its cell, and only places in tiles on the rim are compared.
+reach adds its weight to its cell, and the places of a cell are counted together with its tiles on the rim (`rims`).
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from areastats.functions import geometry as g
 from areastats.functions.geometry import num
-from areastats.operators.tiles import tile, with_cell
+from areastats.operators import rims
+from areastats.operators.tiles import dealt, with_cell
 from areastats.session import materialise
 
 # Functions sent to executors travel whole, so that executors need no copy of this module.
@@ -34,8 +39,14 @@ FEW = 4096
 MANY = 1 << 16
 #: A group has about so many places to be counted, and so many are counted at once.
 PLACES, AT_ONCE = 1 << 17, 1 << 12
-#: Rim tiles of cells with no more places than this are compared place by place.
-FEW_SPOTS = 64
+#: Rim tiles of cells with no more places than this are counted in one group with these.
+FEW_SPOTS = 1 << 16
+#: Shapes with about so many pieces are tiled at once.
+SHAPE_PIECES = 1 << 13
+#: A group has about so many tiles at most, and about so many places and tiles if it has several cells.
+TILES, FULL = 1 << 18, 1 << 16
+RIM_COLUMNS = ["cx", "cy", "up", "n", "tiles", "weight", "crossed", "size", "piece"]
+DTYPES = {"bigint": np.int64, "double": np.float64}
 #: Cells are halved so often at most; what is left then lies on the rim within rounding and is compared.
 DEEPEST = 24
 
@@ -52,62 +63,152 @@ def counts_within(spots: DataFrame, others: DataFrame, dim: int, cell: float, re
 
 
 def shape_counts(spots: DataFrame, others: DataFrame, dim: int, cell: float, reach: float) -> list[DataFrame]:
-    """Counts by whole tiles of every width and, on the rim, between places and the tiles of cells with few places.
+    """Counts by whole cells of every width and, on the rim, by groups of cells with their tiles.
 
-    A feature has one tile in a cell and a place one cell, so no pair comes twice. Tiles of cells without places end. A rim
-    tile of a cell with more places is split into quarters. Each width is written, and no join is broadcast: tiles are many
-    more than the rows of the file they come from.
+    Tiles are made of many shapes at once (`rims`). Whole tiles travel as sums by cell, tiles on the rim as arrays, a row for a
+    cell and a batch of shapes. A feature has one tile in a cell and a place one cell, so no pair comes twice. Rim tiles of a cell
+    with too many places for a group are quartered. Each width is written, and no join is broadcast: tiles are many more than the
+    rows of the file they come from.
     """
-    tiles, out = _judged(tile(others, dim, cell, reach, ["weight"]), cell, reach), []
+    weight = others.schema["weight"].dataType
+    kind = "bigint" if isinstance(weight, IntegralType) else "double"
+    finite = "abs(x) < double('infinity') and abs(y) < double('infinity')"
+    spots = materialise(spots.where(finite))
+    shaped = g.frozen(dealt(others), [f"cast(coalesce(weight, 0) as {kind}) as weight"], {"_e": g.pieces(dim)})
+    usable = " and ".join(f"abs(e.{c}) < double('infinity')" for c in ("x1", "y1", "x2", "y2"))
+    shaped = shaped.where(f"size(_e) > 0 and forall(_e, e -> {usable})")
+    level, out = materialise(shaped.mapInArrow(_tiler(dim == g.POLYGON_DIM, cell, reach), _rim_schema(kind))), []
     for depth in range(DEEPEST + 1):
         placed = with_cell(spots, cell)
-        many = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("m"))
-        level = materialise(tiles.join(many.hint("merge"), ["cx", "cy"]))
-        full = level.where("whole").groupBy("cx", "cy").agg(F.sum("weight").alias("n"))
+        sums = level.where("tiles = 0").groupBy("cx", "cy", "up").agg(F.sum("n").alias("n"))
+        each = [f"explode(sequence(shiftleft({c}, up), shiftleft({c} + 1, up) - 1)) as {c}" for c in ("cx", "cy")]
+        full = sums.selectExpr(each[0], "cy", "up", "n").selectExpr("cx", each[1], "n").groupBy("cx", "cy").agg(F.sum("n").alias("n"))
         out.append(placed.join(full.hint("merge"), ["cx", "cy"]).select("x", "y", "n"))
-        above = level.where(f"not whole and m > {FEW_SPOTS}")
-        last = depth == DEEPEST or above.isEmpty()
-        rim = placed.join(level.where("not whole" if last else f"not whole and m <= {FEW_SPOTS}").hint("merge"), ["cx", "cy"])
-        rim = rim.where(
-            f"{g.locate('ray', 'flip', 'x', 'y')} <> 0 or exists(near, e -> {g.point_piece_sq('x', 'y', 'e')} <= {num(reach * reach)})"
-        )
-        out.append(rim.groupBy("x", "y").agg(F.sum("weight").alias("n")))
+        rim = level.where("tiles > 0").drop("n", "up")
+        load = rim.groupBy("cx", "cy").agg(F.sum("tiles").alias("t"))
+        load = materialise(load.join(placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("m")).hint("merge"), ["cx", "cy"]))
+        crowded = load.where(f"m > {FEW_SPOTS}")
+        last = depth == DEEPEST or crowded.isEmpty()
+        out.append(rim_counts(placed, rim, load if last else load.where(f"m <= {FEW_SPOTS}"), cell, reach, kind))
         if last:
             return out
+        rest = rim.join(crowded.select("cx", "cy").hint("merge"), ["cx", "cy"])
         cell /= 2
-        tiles = _judged(_quarters(above, cell, reach), cell, reach)
+        level = materialise(rest.mapInArrow(_quarterer(cell, reach, kind), _rim_schema(kind)))
     return out
 
 
-def _judged(tiles: DataFrame, cell: float, reach: float) -> DataFrame:
-    """Tiles with `whole`: all of the cell is in reach. Whole tiles need their pieces no more.
-
-    The distance to a piece is largest at a corner of the cell, so four corners near one piece mean that all is.
-    """
-    corners = [(f"(cx + {a}) * {num(cell)}", f"(cy + {b}) * {num(cell)}") for a in (0, 1) for b in (0, 1)]
-    close = " and ".join(f"{g.point_piece_sq(x, y, 'e')} <= {num(reach * reach * (1 - 1e-12))}" for x, y in corners)
-    keep = ["weight", "cx", "cy", "flip", "ray", "near"]
-    judged = g.frozen(tiles, keep, {"whole": f"inside or ({num(reach)} > 0D and exists(near, e -> {close}))"})
-    bare = [f"if(whole, {g.NO_PIECES}, {c}) as {c}" for c in ("ray", "near")]
-    return judged.selectExpr("weight", "cx", "cy", "flip", *bare, "whole")
-
-
-def _quarters(tiles: DataFrame, cell: float, reach: float) -> DataFrame:
-    """The tiles of half the width, `cell`. What tells inside from outside holds for the quarters too, and of the pieces
-    near a tile those near a quarter stay; without any, a quarter lies on one side as a whole."""
-    quarter = "array(" + ", ".join(f"named_struct('a', {a}, 'b', {b})" for a in (0, 1) for b in (0, 1)) + ")"
-    each = tiles.selectExpr("weight", "cx", "cy", "flip", "ray", "near", f"explode({quarter}) as _q")
-    each = each.selectExpr("weight", "cx * 2 + _q.a as cx", "cy * 2 + _q.b as cy", "flip", "ray", "near")
-    x, y = f"((cx + 0.5D) * {num(cell)})", f"((cy + 0.5D) * {num(cell)})"
-    # Half a diagonal beyond the reach, and a little for rounding.
-    around = num((reach + cell * 0.7071068) ** 2 * (1 + 1e-9))
-    touches = " and ".join(
-        f"least(e.{c}1, e.{c}2) <= (c{c} + 1.000001D) * {num(cell)} and greatest(e.{c}1, e.{c}2) >= (c{c} - 0.000001D) * {num(cell)}" for c in "xy"
-    )
-    near = {"near": f"filter(near, e -> {g.point_piece_sq(x, y, 'e')} <= {around})", "_in": g.locate("ray", "flip", x, y)}
-    each = g.frozen(each, ["weight", "cx", "cy", "flip", "ray"], near)
-    inside = f"_in = 1 and not exists(near, e -> {touches})"
-    return each.where("size(near) > 0 or _in <> 0").selectExpr("weight", "cx", "cy", f"{inside} as inside", "flip", "ray", "near")
+def _rim_schema(kind: str) -> str:
+    """A whole cell, 2 ** up cells wide and tall, with the weight n of its tiles, or rim tiles of a cell as bytes of `rims.Tiles`."""
+    kinds = ["bigint", "bigint", "int", kind, "bigint", *["binary"] * 4]
+    return ", ".join(f"{c} {k}" for c, k in zip(RIM_COLUMNS, kinds, strict=True))
+
+
+def _rows(parts: list[tuple[int, rims.Tiles, rims.Tiles]]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_rim_schema`: weights of whole tiles summed by cell, rim tiles put together by cell."""
+    rim = _by_cell(rims.joined([tiles for _, _, tiles in parts]))
+    for up in sorted({up for up, _, _ in parts}):
+        whole = _by_cell(rims.joined([tiles for u, tiles, _ in parts if u == up]))
+        at = _heads(whole)
+        if len(at):
+            blank = [pa.nulls(len(at), pa.binary())] * 4
+            columns = [whole.cx[at], whole.cy[at], np.full(len(at), up, np.int32), np.add.reduceat(whole.weight, at), np.zeros(len(at), np.int64), *blank]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], RIM_COLUMNS)
+    heads = _heads(rim)
+    stops, links = np.append(heads[1:], len(rim.cx)), np.append(0, np.cumsum(rim.size))
+    for at in range(0, len(heads), 1024):
+        own = [slice(a, b) for a, b in zip(heads[at : at + 1024], stops[at : at + 1024], strict=True)]
+        here = heads[at : at + 1024]
+        flat = [[c[i].tobytes() for i in own] for c in (rim.weight, rim.crossed, rim.size.astype(np.int32))]
+        flat.append([rim.piece[:, links[i.start] : links[i.stop]].tobytes() for i in own])
+        n = pa.nulls(len(own), pa.from_numpy_dtype(rim.weight.dtype))
+        columns = [rim.cx[here], rim.cy[here], np.zeros(len(own), np.int32), n, stops[at : at + 1024] - here]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.array(c, pa.binary()) for c in flat)], RIM_COLUMNS)
+
+
+def _by_cell(tiles: rims.Tiles) -> rims.Tiles:
+    return tiles.take(np.lexsort((tiles.cy, tiles.cx)))
+
+
+def _heads(tiles: rims.Tiles) -> np.ndarray:
+    """The first tile of each cell."""
+    fresh = np.append(True, (np.diff(tiles.cx) != 0) | (np.diff(tiles.cy) != 0))
+    return np.flatnonzero(fresh[: len(tiles.cx)])
+
+
+def _tiles(rows: pa.Table | pa.RecordBatch, kind: str) -> rims.Tiles:
+    """Rim tiles of rows of `_rim_schema`."""
+    cx, cy, tiles = (np.asarray(rows[c]) for c in ("cx", "cy", "tiles"))
+    weight, crossed, size = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("weight", DTYPES[kind]), ("crossed", bool), ("size", np.int32)))
+    pieces = [np.empty((4, 0)), *(np.frombuffer(b).reshape(4, -1) for b in rows["piece"].to_pylist())]
+    return rims.Tiles(np.zeros(len(size), np.int64), np.repeat(cx, tiles), np.repeat(cy, tiles), weight, crossed, size.astype(np.int64), np.concatenate(pieces, axis=1))
+
+
+def _batches(sizes: np.ndarray, most: int) -> list[np.ndarray]:
+    """Numbers of rows in stretches with about `most` together."""
+    total = np.cumsum(sizes)
+    cuts = np.searchsorted(total, np.arange(most, total[-1], most), "right") if len(sizes) else []
+    return [own for own in np.split(np.arange(len(sizes)), np.unique(cuts)) if len(own)]
+
+
+def _tiler(solid: bool, cell: float, reach: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weight, sizes = np.asarray(batch["weight"]), np.asarray(pc.list_value_length(batch["_e"]), dtype=np.int64)
+            stops, flat = np.append(0, np.cumsum(sizes)), batch["_e"].flatten()
+            piece = np.stack([np.asarray(flat.field(c)) for c in ("x1", "y1", "x2", "y2")])
+            parts, held = [], 0
+            for own in _batches(sizes, SHAPE_PIECES):
+                of = piece[:, stops[own[0]] : stops[own[-1] + 1]]
+                for part in rims.cut(of, sizes[own], weight[own], solid, cell, reach):
+                    parts.append(part)
+                    held += len(part[1].cx) + len(part[2].cx)
+                    if held > TILES:
+                        yield from _rows(parts)
+                        parts, held = [], 0
+            if parts:
+                yield from _rows(parts)
+
+    return make
+
+
+def _quarterer(cell: float, reach: float, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in _batches(np.asarray(batch["tiles"]), rims.AT_ONCE):
+                tiles = _tiles(batch.slice(own[0], len(own)), kind)
+                yield from _rows([(0, *rims.judged(rims.quarters(tiles), cell, reach))])
+
+    return make
+
+
+def rim_counts(placed: DataFrame, rim: DataFrame, load: DataFrame, cell: float, reach: float, kind: str) -> DataFrame:
+    """Counts of the places of cells in `load` by their rim tiles. A crowded cell is a group, or several that share its tiles; others
+    go together into groups of about as many places."""
+    total = load.agg(F.sum("m").alias("m"), F.sum("t").alias("t")).first()
+    size = (total.m or 0) + (total.t or 0)
+    lots = min(4 * placed.sparkSession.sparkContext.defaultParallelism, 1 + size // FEW) + size // FULL
+    single = f"m > {FULL // 16} or t > {FULL // 16}"
+    lot = f"if({single}, xxhash64(cx, cy), pmod(xxhash64(cx, cy), {lots})) as lot"
+    load = load.selectExpr("cx", "cy", f"{single} as single", lot, f"int(ceil(t / {TILES})) as shares").hint("merge")
+    left = placed.join(load, ["cx", "cy"]).withColumn("share", F.expr("explode(sequence(0, shares - 1))"))
+    right = rim.join(load, ["cx", "cy"]).withColumn("share", F.expr("int(pmod(xxhash64(piece), shares))"))
+    keys = ["single", "lot", "share"]
+
+    def count(lhs: pa.Table, rhs: pa.Table) -> pa.Table:
+        x, y, cx, cy = (np.asarray(lhs[c]) for c in ("x", "y", "cx", "cy"))
+        tiles = _tiles(rhs, kind)
+        n = rims.counted(x, y, cx, cy, tiles, cell, reach)
+        # A place in reach of weights of 0 only has a row too.
+        ones = tiles._replace(weight=np.ones_like(tiles.weight))
+        met = (n if (tiles.weight > 0).all() else rims.counted(x, y, cx, cy, ones, cell, reach)) > 0
+        return pa.table({"x": x[met], "y": y[met], "n": n[met]})
+
+    places = left.selectExpr(*keys, "cx", "cy", "double(x) as x", "double(y) as y").repartition(lots, *keys)
+    right = right.select(*[F.col(k).alias(f"_{k}") for k in keys], "cx", "cy", "tiles", "weight", "crossed", "size", "piece")
+    tiles = right.repartition(lots, *[f"_{k}" for k in keys])
+    found = places.groupBy(*keys).cogroup(tiles.groupBy(*[f"_{k}" for k in keys])).applyInArrow(count, f"x double, y double, n {kind}")
+    return found.groupBy("x", "y").agg(F.sum("n").alias("n"))
 
 
 def _cells(points: DataFrame, width: float, side: str) -> DataFrame:
